@@ -178,37 +178,37 @@ LIFECYCLE = f"""select c_custkey, {_lifecycle('account', 'status', 'life')} as l
 # --- order facts ---------------------------------------------------------------
 
 ORDER_LINES = """lines as (
-  select o_orderdate as at, o_orderkey as ok, o_custkey as ck, o_orderstatus as status,
+  select o_orderdate as tm, o_orderkey as ok, o_custkey as ck, o_orderstatus as status,
     l_partkey % 3 as sku, l_suppkey % 2 as sub, l_returnflag as flag,
     cast(l_extendedprice as decimal(18,2)) as price
   from orders join lineitem on o_orderkey = l_orderkey)"""
 
-SETTLED = f"""{_with(ORDER_LINES)}select strftime(at, '%Y-%m-%d') as dt,
+SETTLED = f"""{_with(ORDER_LINES)}select strftime(tm, '%Y-%m-%d') as dt,
   'm' || ck % 500 as unif_user_log_acct, 'c' || ck as user_log_acct,
   if(status <> 'P', cast(ok as varchar), '') as parent_sale_ord_id,
-  strftime(at, '%Y-%m-%d %H:%M:%S') as event_time,
+  strftime(tm, '%Y-%m-%d %H:%M:%S') as event_time,
   cast(sum(if(status <> 'P', best, 0)) as double) as after_prefr_amount_1
-from (select at, ok, ck, status, sku, sub, max(price) as best from lines
+from (select tm, ok, ck, status, sku, sub, max(price) as best from lines
       where ok % 10 <> 0 and ok % 13 <> 0 group by all)
 group by 1, 2, 3, 4, 5"""
 
 SNAPSHOT_LINES = """best as (
-  select at, ok, ck, sku, sub, max(price) as best from lines
+  select tm, ok, ck, sku, sub, max(price) as best from lines
   where ok % 10 <> 0 and ok % 13 <> 0 and ok % 7 <> 0 group by all),
-consumer as (select distinct at, ok, sku, sub from lines where flag <> 'R')"""
-SNAPSHOT = f"""{_with(ORDER_LINES, SNAPSHOT_LINES)}select strftime(at, '%Y-%m-%d') as dt,
+consumer as (select distinct tm, ok, sku, sub from lines where flag <> 'R')"""
+SNAPSHOT = f"""{_with(ORDER_LINES, SNAPSHOT_LINES)}select strftime(tm, '%Y-%m-%d') as dt,
   if(ck % 5 = 0 or not exists (select 1 from customer where c_custkey = ck),
      'c' || ck, 'm' || ck // 3) as unif_user_log_acct,
   'c' || ck as user_log_acct,
   if(hit, cast(ok as varchar), '') as parent_sale_ord_id,
-  strftime(at, '%Y-%m-%d %H:%M:%S') as event_time,
+  strftime(tm, '%Y-%m-%d %H:%M:%S') as event_time,
   cast(sum(if(hit, best, 0)) as double) as after_prefr_amount_1
 from (select b.*, c.ok is not null as hit from best b left join consumer c
-      on b.at = c.at and b.ok = c.ok and b.sku = c.sku and b.sub = c.sub)
+      on b.tm = c.tm and b.ok = c.ok and b.sku = c.sku and b.sub = c.sub)
 group by 1, 2, 3, 4, 5"""
 
-QUARTERS = f"""{_with(ORDER_LINES)}select strftime(date_trunc('quarter', at), '%Y-%m-%d') as dt,
-  count(*) as n, strftime(min(at), '%Y-%m-%d') as first_day, strftime(max(at), '%Y-%m-%d') as last_day
+QUARTERS = f"""{_with(ORDER_LINES)}select strftime(date_trunc('quarter', tm), '%Y-%m-%d') as dt,
+  count(*) as n, strftime(min(tm), '%Y-%m-%d') as first_day, strftime(max(tm), '%Y-%m-%d') as last_day
 from lines group by 1"""
 
 
@@ -222,25 +222,25 @@ VISITS = f"""visits as (
     if(user_id % 13 = 0, null, 'd' || user_id || '-' || event_id % 2) as device,
     ([{CHANNEL_NAMES}, 'unlisted', null])[event_id % 11 + 1] as chan,
     if(event_id % 19 = 0, null, 's' || user_id || '-' || hour(ts) // 6) as pv,
-    ts as at, event_id % 17 <> 0 as app
+    ts as tm, event_id % 17 <> 0 as app
   from events where event_type <> 'purchase')"""
 
 
 def _deals(consumer: str) -> str:
     return f"""deals as (
   select strftime(ts, '%Y-%m-%d') as dt, {ACCOUNT} as acct, 'l' || user_id as login,
-    if({consumer}, 'p' || event_id, '') as parent, date_trunc('second', ts) as at,
+    if({consumer}, 'p' || event_id, '') as parent, date_trunc('second', ts) as tm,
     cast(sum(if({consumer}, cast(value as decimal(18,2)), 0)) as decimal(18,2)) as amount
   from events where event_type = 'purchase' and event_id % 17 <> 0 and event_id % 23 <> 0
   group by 1, 2, 3, 4, 5)"""
 
 
 EVENTS = """ev as (
-  select dt, acct, login, device, chan, pv, '' as parent, at,
+  select dt, acct, login, device, chan, pv, '' as parent, tm,
     cast(0 as decimal(18,2)) as amount, 0 as o, coalesce(acct, device) as uid
   from visits where app
   union all
-  select dt, acct, login, null, null, null, parent, at, amount, 1, acct from deals)"""
+  select dt, acct, login, null, null, null, parent, tm, amount, 1, acct from deals)"""
 EVENTS_EMPTY_MISSING = EVENTS.replace(
     "coalesce(acct, device) as uid", "coalesce(nullif(acct, ''), device) as uid"
 ).replace("amount, 1, acct from", "amount, 1, nullif(acct, '') from")
@@ -287,7 +287,7 @@ segs as (
   from sv group by all),
 steps as (
   select {", ".join("s." + n for n in k)}, s.seg, coalesce(v.{chan}, '') as ch,
-    sum(v.v) as n, min(v.at) as ft
+    sum(v.v) as n, min(v.tm) as ft
   from segs s join sv v on {same} and v.seg {reach} s.seg and v.v = 1 group by all),
 txt as (
   select {keys}, seg, string_agg(ch || '|' || n, '>' order by ft, ch, n) as path,
@@ -301,7 +301,7 @@ pth as (
 
 
 RAW = """raw as (
-  select *, cast(ts as date) as day, ts as at, if(event_type = 'purchase', 1, 0) as o,
+  select *, cast(ts as date) as day, ts as tm, if(event_type = 'purchase', 1, 0) as o,
     cast(value as decimal(18,2)) as money,
     if(event_id % 9 <> 0, hour(ts) // 12, null) as visit_id from events)"""
 
@@ -311,11 +311,12 @@ def _raw_paths(**options) -> str:
         "raw", "user_id, day", "ts, event_id", "event_type", "cast(event_id as varchar)", "money",
         **options,
     )
-    return f"{_with(RAW, ctes)}select user_id, day, seg, ord, amt, path, all_times, bfo from pth"
+    return f"""{_with(RAW, ctes)}select user_id, strftime(day, '%Y-%m-%d') as day, seg, ord, amt,
+  path, all_times, bfo from pth"""
 
 
 EVENT_PATHS = _paths(
-    "(select * from ev where uid is not null)", "dt, uid", "at, o, parent, login", "chan",
+    "(select * from ev where uid is not null)", "dt, uid", "tm, o, parent, login", "chan",
     "parent", "amount",
 )
 USER = "dt, uid as user_id"
@@ -504,19 +505,24 @@ ORACLE: dict[str, str] = {
     "quarter_scan": QUARTERS,
     "unified_events": f"""{_with(VISITS, STABLE_DEALS, EVENTS)}select dt,
   acct as unif_user_log_acct, login as user_log_acct, device as browser_uniq_id,
-  chan as chan_second_cate_desc_bel, pv as pv_id, parent as parent_sale_ord_id, at as event_time,
+  chan as chan_second_cate_desc_bel, pv as pv_id, parent as parent_sale_ord_id,
+  strftime(tm, '%Y-%m-%d %H:%M:%S.%f') as event_time,
   cast(amount as double) as after_prefr_amount_1, if(o = 1, 'order', 'visit') as attr,
   uid as user_id, o = 1 as is_order,
   if({RANK} > 0, {RANK} || '-' || chan, null) as ranked_channel from ev""",
     "event_sequence": f"""{_with(VISITS, STABLE_DEALS, EVENTS, EVENT_PATHS)}select {USER}, seg,
-  if(o = 1, 'order', 'visit') as attr, count(*) as n, min(at) as first_time, max(at) as last_time
+  if(o = 1, 'order', 'visit') as attr, count(*) as n,
+  strftime(min(tm), '%Y-%m-%d %H:%M:%S.%f') as first_time,
+  strftime(max(tm), '%Y-%m-%d %H:%M:%S.%f') as last_time
 from sg group by all""",
     "user_summary": f"""{_with(VISITS, STABLE_DEALS, EVENTS, SUMMARY)}select {USER}, attr,
   times as tc_visit_times, label, num as tc_visit_chan_num, {_freq('times')} as user_visit_freq
 from usum""",
-    "channel_label": f"""{_with(VISITS)}select dt, login as user_log_acct, coalesce(string_agg(
-  distinct if({RANK} > 0, chan, null), '+' order by if({RANK} > 0, chan, null)), '') as label
-from visits group by dt, login""",
+    "channel_label": f"""{_with(VISITS)}select dt, user_log_acct,
+  array_to_string([([{CHANNEL_NAMES}])[r] for r in ranks], '+') as label
+from (select dt, login as user_log_acct,
+        list_sort(coalesce(list(distinct {RANK}) filter ({RANK} > 0), [])) as ranks
+      from visits group by dt, login)""",
     "conversion_path": _raw_paths(),
     "conversion_path_distinct": _raw_paths(pv="visit_id"),
     "conversion_path_cumulative": _raw_paths(cumulative=True),

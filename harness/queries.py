@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import adapters as A
@@ -176,10 +176,14 @@ def _events(spark, sf_dir):
     return user_detail.unified_events(A.visits(spark, sf_dir), facts, START, END)
 
 
+def _clock_text(time: Column) -> Column:
+    return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def unified_events(spark, sf_dir):
     ranked = labels.ranked_channel(F.col("chan_second_cate_desc_bel"))
     return _facts(_events(spark, sf_dir)).withColumns(
-        {"ranked_channel": ranked, "event_time": F.col("event_time").cast("timestamp_ntz")}
+        {"ranked_channel": ranked, "event_time": _clock_text(F.col("event_time"))}
     )
 
 
@@ -187,8 +191,8 @@ def event_sequence(spark, sf_dir):
     numbered = user_detail.event_sequence(_events(spark, sf_dir))
     return numbered.groupBy("dt", "user_id", "seg", "attr").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("event_time").alias("first_time"),
-        F.max("event_time").alias("last_time"),
+        _clock_text(F.min("event_time")).alias("first_time"),
+        _clock_text(F.max("event_time")).alias("last_time"),
     )
 
 
@@ -229,7 +233,7 @@ def _raw_paths(spark, sf_dir, **options):
     paths = conversion_paths(events, RAW_EVENTS, **options)
     return paths.select(
         "user_id",
-        "day",
+        F.col("day").cast("string").alias("day"),
         "seg",
         F.col("order_id").alias("ord"),
         F.col("amount").cast("double").alias("amt"),
@@ -266,7 +270,8 @@ def null_skip_join(spark, sf_dir):
     name = F.when(F.col("c_custkey") == 1, "").otherwise(F.concat(F.lit("u"), "c_custkey"))
     right = unique_per_key(customer, {"account": name}, segment=F.max("c_mktsegment"))
     kept = left.withColumn("key", F.col("account"))
-    return left_join_missing_aside(kept, right.withColumnRenamed("account", "key"), "key")
+    joined = left_join_missing_aside(kept, right.withColumnRenamed("account", "key"), "key")
+    return joined.drop("key")
 
 
 def _detail(spark, sf_dir, version=C.STABLE, **options):
