@@ -110,9 +110,14 @@ def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Users whose account is ''. They count as one user, and the detail pairs all their devices with all
+# their paths, so there are two of them at any scale.
+EMPTY_ACCOUNTS = [11, 22]
+
+
 def _account(prefix: str, suffix: str = "") -> Column:
     name = F.concat(F.lit(prefix), "user_id", F.lit(suffix))
-    return F.when(_every("user_id", 11), "").otherwise(name)
+    return F.when(F.col("user_id").isin(EMPTY_ACCOUNTS), "").otherwise(name)
 
 
 def _owned(account: Column) -> Column:
@@ -146,23 +151,62 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def path_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _purchase_columns() -> list[Column]:
+    return [
+        (F.col("event_id") % 50).cast("string").alias("item_sku_id"),
+        F.concat(F.lit("o"), "event_id").alias("sale_ord_id"),
+        F.concat(F.lit("p"), "event_id").alias("parent_sale_ord_id"),
+        _clock().alias("sale_ord_tm"),
+        F.concat(F.lit("L"), "user_id").alias("user_log_acct"),
+    ]
+
+
+def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where("event_type = 'purchase'")
+
+
+def path_orders(spark: SparkSession, sf_dir: str, by_quarter: bool = False) -> DataFrame:
     """Purchases as settled order lines; accounts need trimming and lower case."""
-    events = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    return events.select(
-        _day("ts").alias("dt"),
-        F.lit(0).alias("tp"),
-        F.lit(C.DAY_TO_DATE).alias("dp"),
+    quarter = F.trunc("ts", "quarter").cast("string")
+    return _purchases(spark, sf_dir).select(
+        (quarter if by_quarter else _day("ts")).alias("dt"),
+        _day("ts").alias("sale_ord_dt"),
+        F.lit(1 if by_quarter else 0).alias("tp"),
+        F.lit(C.QUARTER_TO_DATE if by_quarter else C.DAY_TO_DATE).alias("dp"),
         _app().alias("new_bs"),
         F.when(_every("event_id", 23), "0").otherwise("1").alias("intraday_ord_deal_flag"),
         F.when(_every("event_id", 5), "B端").otherwise(C.CONSUMER).alias("type_c"),
         _owned(_account(" U", " ")).alias("unif_user_log_acct"),
-        F.concat(F.lit("L"), "user_id").alias("user_log_acct"),
-        (F.col("event_id") % 50).cast("string").alias("item_sku_id"),
-        F.concat(F.lit("o"), "event_id").alias("sale_ord_id"),
-        F.concat(F.lit("p"), "event_id").alias("parent_sale_ord_id"),
-        _clock().alias("sale_ord_tm"),
         F.col("value").alias("after_prefr_amount_1"),
+        *_purchase_columns(),
+    )
+
+
+def path_snapshot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _purchases(spark, sf_dir).select(
+        _day("ts").alias("dt"),
+        F.lit("own").alias("add_cart_plat_flag"),
+        _app().alias("plat_flag"),
+        F.when(_every("event_id", 23), "0").otherwise("1").alias("deal_flag"),
+        F.col("value").alias("after_prefr_amount"),
+        *_purchase_columns(),
+    )
+
+
+def path_order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    business = F.when(_every("event_id", 5), "other").otherwise(C.CONSUMER_BUSINESS)
+    return _purchases(spark, sf_dir).select(
+        _day("ts").alias("dt"), business.alias("first_biz"), *_purchase_columns()[:2]
+    )
+
+
+def path_account_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logins of users with an account, on each day they have events."""
+    named = ~_every("user_id", 7) & ~F.col("user_id").isin(EMPTY_ACCOUNTS)
+    return _user_days(spark, sf_dir).where(named).select(
+        F.col("day").cast("string").alias("dt"),
+        F.concat(F.lit(" L"), "user_id").alias("user_acct_name"),
+        F.concat(F.lit("U"), "user_id").alias("unif_user_log_acct"),
     )
 
 

@@ -215,7 +215,12 @@ from lines group by 1"""
 # --- visit paths ---------------------------------------------------------------
 
 CHANNEL_NAMES = _list(C.CHANNELS)
-ACCOUNT = "case when user_id % 7 = 0 then null when user_id % 11 = 0 then '' else 'u' || user_id end"
+ACCOUNT = (
+    "case when user_id % 7 = 0 then null when user_id in (11, 22) then '' "
+    "else 'u' || user_id end"
+)
+# The snapshot takes the account from the login's name, or the login itself.
+NAMED = "if(user_id % 7 = 0 or user_id in (11, 22), 'l', 'u') || user_id"
 
 VISITS = f"""visits as (
   select strftime(ts, '%Y-%m-%d') as dt, {ACCOUNT} as acct, 'l' || user_id as login,
@@ -226,9 +231,10 @@ VISITS = f"""visits as (
   from events where event_type <> 'purchase')"""
 
 
-def _deals(consumer: str) -> str:
+def _deals(account: str) -> str:
+    consumer = "event_id % 5 <> 0"
     return f"""deals as (
-  select strftime(ts, '%Y-%m-%d') as dt, {ACCOUNT} as acct, 'l' || user_id as login,
+  select strftime(ts, '%Y-%m-%d') as dt, {account} as acct, 'l' || user_id as login,
     if({consumer}, 'p' || event_id, '') as parent, date_trunc('second', ts) as tm,
     cast(sum(if({consumer}, cast(value as decimal(18,2)), 0)) as decimal(18,2)) as amount
   from events where event_type = 'purchase' and event_id % 17 <> 0 and event_id % 23 <> 0
@@ -244,8 +250,8 @@ EVENTS = """ev as (
 EVENTS_EMPTY_MISSING = EVENTS.replace(
     "coalesce(acct, device) as uid", "coalesce(nullif(acct, ''), device) as uid"
 ).replace("amount, 1, acct from", "amount, 1, nullif(acct, '') from")
-STABLE_DEALS = _deals("event_id % 5 <> 0")
-SNAPSHOT_DEALS = _deals("true")
+STABLE_DEALS = _deals(ACCOUNT)
+SNAPSHOT_DEALS = _deals(NAMED)
 
 RANK = f"list_position([{CHANNEL_NAMES}], chan)"
 
@@ -534,6 +540,7 @@ r as (select if(c_custkey = 1, '', 'u' || c_custkey) as k, max(c_mktsegment) as
   from customer group by 1)
 select event_id, account, segment from e left join r on nullif(account, '') = k""",
     "user_detail": _detail(),
+    "user_detail_history": _detail(),
     "user_detail_snapshot": _detail(C.SNAPSHOT),
     "user_detail_empty_as_missing": _detail(events=EVENTS_EMPTY_MISSING),
     "rollup_levels": _levels(),

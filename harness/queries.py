@@ -172,7 +172,7 @@ def quarter_scan(spark, sf_dir):
 
 
 def _events(spark, sf_dir):
-    facts = orders.stable_order_facts(A.path_orders(spark, sf_dir), START, END)
+    facts = _path_facts(spark, sf_dir, C.STABLE)
     return user_detail.unified_events(A.visits(spark, sf_dir), facts, START, END)
 
 
@@ -274,16 +274,30 @@ def null_skip_join(spark, sf_dir):
     return joined.drop("key")
 
 
-def _detail(spark, sf_dir, version=C.STABLE, **options):
+def _path_facts(spark, sf_dir, version):
     if version == C.SNAPSHOT:
-        # The snapshot of a day sees its orders before consumer labels are settled: all of them
-        # count, which the label column of the settled table expresses.
-        lines = A.path_orders(spark, sf_dir).withColumn("type_c", F.lit(C.CONSUMER))
-    else:
-        lines = A.path_orders(spark, sf_dir)
-    facts = orders.stable_order_facts(lines, START, END)
+        return orders.snapshot_order_facts(
+            A.path_snapshot_orders(spark, sf_dir),
+            A.path_order_labels(spark, sf_dir),
+            A.path_account_names(spark, sf_dir),
+            START,
+            END,
+        )
+    if version == C.HISTORY:
+        quarters = A.path_orders(spark, sf_dir, by_quarter=True)
+        return orders.history_order_facts(quarters, START, END)
+    return orders.stable_order_facts(A.path_orders(spark, sf_dir), START, END)
+
+
+def _detail(spark, sf_dir, version=C.STABLE, **options):
     return user_detail.user_detail(
-        A.visits(spark, sf_dir), facts, A.tags(spark, sf_dir), START, END, version, **options
+        A.visits(spark, sf_dir),
+        _path_facts(spark, sf_dir, version),
+        A.tags(spark, sf_dir),
+        START,
+        END,
+        version,
+        **options,
     )
 
 
@@ -300,6 +314,10 @@ def detail_snapshot(spark, sf_dir):
     return _amount_as_double(_detail(spark, sf_dir, C.SNAPSHOT))
 
 
+def detail_history(spark, sf_dir):
+    return _amount_as_double(_detail(spark, sf_dir, C.HISTORY))
+
+
 def detail_empty_as_missing(spark, sf_dir):
     return _amount_as_double(_detail(spark, sf_dir, empty_account_is_missing=True))
 
@@ -428,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "conversion_path_distinct_cumulative": conversion_path_distinct_cumulative,
     "null_skip_join": null_skip_join,
     "user_detail": detail_stable,
+    "user_detail_history": detail_history,
     "user_detail_snapshot": detail_snapshot,
     "user_detail_empty_as_missing": detail_empty_as_missing,
     "rollup_levels": rollup_levels,

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# No account or device id starts with this character.
+STAND_IN = "\u0000"
+
+
 def left_join_missing_aside(
     left: DataFrame,
     right: DataFrame,
@@ -17,23 +21,20 @@ def left_join_missing_aside(
 ) -> DataFrame:
     """``left LEFT JOIN right`` on ``key`` and the columns ``also``; missing keys match nothing.
 
-    A plain join sends every row without a key to one task. Here the join has a second key: the
-    hash of the key where there is one, the hash of the whole row where there is none. Rows with a
-    key meet as before; rows without one spread over all tasks. Unlike a random key this gives the
-    same layout when a lost task runs again, and the left side is read once.
+    A plain join sends every row without a key to one task. Here such a row gets a stand-in made
+    from a hash of the row, which no key on the right equals, so these rows spread over all tasks.
+    Unlike a random stand-in it is the same when a lost task runs again. The left side is read once,
+    and a right side that is grouped by ``also`` and ``key`` needs no second shuffle.
     """
     columns = left.columns
     value = F.nullif(F.col(key), F.lit("")) if empty_is_missing else F.col(key)
-    left = left.withColumn("_key", value).withColumn(
-        "_spread",
-        F.when(F.col("_key").isNotNull(), F.xxhash64("_key")).otherwise(F.xxhash64(*columns)),
-    )
-    right = (
-        right.where(value.isNotNull())
-        .withColumnRenamed(key, "_key")
-        .withColumn("_spread", F.xxhash64("_key"))
+    stand_in = F.concat(F.lit(STAND_IN), F.xxhash64(*columns).cast("string"))
+    known = right.where(value.isNotNull() & ~F.col(key).startswith(STAND_IN))
+    return (
+        left.withColumn("_key", F.coalesce(value, stand_in))
+        .join(known.withColumnRenamed(key, "_key"), [*also, "_key"], "left")
+        .drop("_key")
     )
-    return left.join(right, [*also, "_key", "_spread"], "left").drop("_key", "_spread")
 
 
 def unique_per_key(df: DataFrame, keys: dict[str, Column], **picks: Column) -> DataFrame:
