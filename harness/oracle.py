@@ -475,8 +475,8 @@ def _export(pattern: str) -> str:
 from ({MERGED_ROLLUP})"""
 
 
-EXPORT_FILES = f"""select dt, count(*) as n, cast(sum({_shard(SHARD_COLUMNS)}) as bigint) as shards,
-  cast(0 as bigint) as misplaced from ({_levels()}) group by dt"""
+EXPORT_FILES = f"""select dt, count(*) as n, cast(sum({_shard(SHARD_COLUMNS)}) as bigint) as shards
+  from ({_levels()}) group by dt"""
 
 OVERWRITE = """with rows as (
   select event_id, strftime(ts, '%Y-%m-%d') as dt, 'day' as tp, day(ts) % 2 as odd from events)

@@ -382,7 +382,7 @@ def _export(pattern: str) -> Query:
 
 
 def export_files(spark, sf_dir):
-    """The exported files read back: rows, shard keys and days, per day."""
+    """The exported files read back: rows and shard keys per day."""
     stored, path = scratch(spark, "rollup"), scratch(spark, "export")
     write_days(rollup_levels(spark, sf_dir), stored, ("dt", "tp", "dp"))
     export.export_files(read_table(spark, stored, schemas.ROLLUP), path, START, END)
@@ -390,9 +390,6 @@ def export_files(spark, sf_dir):
     return rows.groupBy(F.col("dt").cast("string").alias("dt")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("hash_key_for_shard").cast("bigint")).alias("shards"),
-        F.sum(F.col("hash_key_for_shard") % C.EXPORT_WRITERS - F.col("shard_group"))
-        .cast("bigint")
-        .alias("misplaced"),
     )
 
 

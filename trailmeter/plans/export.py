@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trailmeter import constants as C
 from trailmeter.functions.keys import shard_key
 from trailmeter.schemas import ROLLUP_COLUMNS
-from trailmeter.sources.days import parse_range, read_days
+from trailmeter.sources.days import read_days, write_days
 
 NORMAL, HISTORY = "normal", "history"
 COLUMNS = ["dt", *[name for name in ROLLUP_COLUMNS if name not in ("dt", "tp")]]
@@ -47,23 +47,19 @@ def export_files(
     pattern: str = NORMAL,
     writers: int = C.EXPORT_WRITERS,
 ) -> None:
-    """Replace the exported days: one sorted file per day and writer.
+    """Replace the exported days, in files sorted by the store's key.
 
-    A writer owns a fixed part of the shard keys, so a loader can take one directory per shard
-    group, and a day is spread over all writers.
+    A day is spread over ``writers`` parts by shard key. The day is the only partition column: with
+    the part as a second one, a rerun would leave behind the parts it has no rows for. Days of the
+    range without rows end up empty.
     """
-    parse_range(start, end)
-    rows = export_rows(rollup, start, end, pattern).withColumn(
-        "shard_group", F.pmod(F.col(SHARD), F.lit(writers))
-    )
-    (
-        rows.repartition("dt", "shard_group")
-        .sortWithinPartitions("dt", "shard_group", *C.EXPORT_SORT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "shard_group")
-        .parquet(path)
+    part = F.pmod(F.col(SHARD), F.lit(writers))
+    rows = (
+        export_rows(rollup, start, end, pattern)
+        .repartition("dt", part)
+        .sortWithinPartitions("dt", *C.EXPORT_SORT)
     )
+    write_days(rows, path, clear=(start, end or start), rebalance=False)
 
 
 def export_jdbc(

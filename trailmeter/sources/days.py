@@ -71,11 +71,13 @@ def write_days(
     path: str,
     partitions: tuple[str, ...] = ("dt",),
     clear: tuple[str, str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Overwrite the partitions that ``df`` has rows for; all others stay.
 
     The rebalance step makes files of about 256 MB: it joins small ones and splits a big partition
-    over several tasks, where a repartition by ``dt`` would send a whole day to one.
+    over several tasks, where a repartition by ``dt`` would send a whole day to one. Turn it off for
+    rows that are laid out already.
 
     ``clear=(start, end)`` also empties days of that range without any row, as an overwrite of a
     single static partition does. That is only possible with ``dt`` as the one partition column.
@@ -91,7 +93,7 @@ def write_days(
     sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(FILE_BYTES)}
     with settings(spark, sizes):
         (
-            df.hint("rebalance", *partitions)
+            (df.hint("rebalance", *partitions) if rebalance else df)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)
