@@ -258,10 +258,11 @@ RANK = f"list_position([{CHANNEL_NAMES}], chan)"
 # A label lists the distinct known channels by their position.
 SUMMARY = f"""us as (
   select dt, uid, if(max(o) = 1, 'order', 'visit') as attr, count(distinct pv) as times,
-    list_sort(coalesce(list(distinct {RANK}) filter ({RANK} > 0), [])) as ranks
+    list_sort(coalesce(list(distinct {RANK}) filter ({RANK} > 0), [])) as ranks,
+    cast(sum(o) as bigint) as orders
   from ev where uid is not null group by dt, uid),
 usum as (
-  select dt, uid, attr, times, cast(len(ranks) as int) as num,
+  select dt, uid, attr, times, orders, cast(len(ranks) as int) as num,
     array_to_string([([{CHANNEL_NAMES}])[r] for r in ranks], '+') as label from us)"""
 
 
@@ -522,7 +523,8 @@ ORACLE: dict[str, str] = {
   strftime(max(tm), '%Y-%m-%d %H:%M:%S.%f') as last_time
 from sg group by all""",
     "user_summary": f"""{_with(VISITS, STABLE_DEALS, EVENTS, SUMMARY)}select {USER}, attr,
-  times as tc_visit_times, label, num as tc_visit_chan_num, {_freq('times')} as user_visit_freq
+  times as tc_visit_times, label, num as tc_visit_chan_num, orders,
+  {_freq('times')} as user_visit_freq
 from usum""",
     "channel_label": f"""{_with(VISITS)}select dt, user_log_acct,
   array_to_string([([{CHANNEL_NAMES}])[r] for r in ranks], '+') as label

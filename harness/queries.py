@@ -197,7 +197,8 @@ def event_sequence(spark, sf_dir):
 
 
 def user_summary(spark, sf_dir):
-    return user_detail.user_summary(_events(spark, sf_dir)).withColumnRenamed("_label", "label")
+    summary = user_detail.user_summary(_events(spark, sf_dir))
+    return summary.withColumnsRenamed({"_label": "label", "_orders": "orders"})
 
 
 def channel_label(spark, sf_dir):

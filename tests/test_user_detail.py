@@ -2,6 +2,7 @@ import pytest
 
 from trailmeter import constants as C
 from trailmeter import schemas as S
+from trailmeter.operators import paths
 from trailmeter.plans import user_detail as U
 from trailmeter.plans.orders import FACT_KEYS
 
@@ -112,6 +113,20 @@ def test_visits_at_the_time_of_an_order_come_first(detail):
     assert {(r.parent_sale_ord_id, r.tc_user_visits_before_deal) for r in rows} == {("p1", 1)}
 
 
+def test_users_with_several_chunks_of_orders(detail, monkeypatch):
+    """Two orders make two chunks of one, and a third chunk that is empty."""
+    visits = [visit("a", d, clock=f"10:{n}0:00") for n in range(3) for d in ("d1", "d2")]
+    orders = [order("a", f"p{n}", f"10:{n}5:00", n + 1.0) for n in range(2)]
+    last = [order("a", "p2", "10:25:00", 3.0)]
+    for found in (orders, orders + last):
+        expected = detail(visits, found)
+        with monkeypatch.context() as patch:
+            patch.setattr(paths, "SEGMENT_CHUNK", 1)
+            assert sorted(map(str, detail(visits, found))) == sorted(map(str, expected))
+        assert {r.tc_user_visits_before_deal for r in expected} == {2}
+        assert len(expected) == 9
+
+
 def test_other_platforms_and_days_are_left_out(detail):
     assert detail([visit("a", "d", platform="PC"), visit("b", "d", dt=BEFORE)]) == []
 

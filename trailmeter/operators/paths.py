@@ -33,6 +33,11 @@ class EventColumns:
     visit_id: str | None = None
 
 
+def chunk_of(segment: Column) -> Column:
+    """Neighbouring segments share a chunk. Nearly every user has one chunk per day."""
+    return F.floor(segment / SEGMENT_CHUNK)
+
+
 def minute_of(time: Column) -> Column:
     """Minutes since 1970 by the clock fields, so that no time zone rule can reverse two events."""
     time = time.cast("timestamp_ntz")
@@ -106,7 +111,6 @@ def _visit_counts(events: DataFrame, cols: EventColumns, distinct: bool, cumulat
 
 def _accumulate(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Turn visits per segment and channel into visits of the day up to that segment."""
-    chunk = F.floor(F.col("seg") / SEGMENT_CHUNK)
     segments = counts.select(*keys, "seg", "_orders").distinct()
     channels = (
         counts.where(F.col("_visits") > 0)
@@ -119,7 +123,7 @@ def _accumulate(counts: DataFrame, keys: list[str]) -> DataFrame:
         segments.join(channels, keys)
         .join(visits, [*keys, "seg", "_channel"], "left")
         .withColumn("_visits", F.coalesce("_visits", F.lit(0)))
-        .withColumn("_chunk", chunk)
+        .withColumn("_chunk", chunk_of(F.col("seg")))
     )
     summed = running_sum_before(
         dense, [*keys, "_channel"], "_chunk", [F.col("seg")], "_visits", "_before"
@@ -141,7 +145,7 @@ def conversion_paths(
     """One row per segment of a user's day.
 
     A segment ends with its order; visits after the last order form a last segment without one.
-    Output: the keys, ``seg``, ``order_id`` ('' without an order), ``amount``, ``path``
+    Output: the keys, ``seg`` and its ``chunk``, ``order_id`` ('' without an order), ``amount``, ``path``
     (``channel|visits`` by first appearance, joined with ``>``), ``all_times`` (visits) and
     ``before_first_order`` (visits before the first order of the day, 0 without one).
 
@@ -175,16 +179,16 @@ def _first_order_visits(segments: DataFrame, keys: list[str]) -> DataFrame:
     chunk, so there is no extra row, and no window holds more than a chunk and the copy.
     """
     first = F.col("seg") == 0
-    last_chunk = F.floor(F.col("_orders") / SEGMENT_CHUNK)
-    own_chunk = F.floor(F.col("seg") / SEGMENT_CHUNK)
+    last_chunk, own_chunk = chunk_of(F.col("_orders")), chunk_of(F.col("seg"))
     chunks = F.when(first, F.sequence(F.lit(0).cast("bigint"), last_chunk)).otherwise(
         F.array(own_chunk)
     )
     visits = F.when(first & F.col("_has_order"), F.col("all_times"))
-    together = Window.partitionBy(*keys, "_chunk")
+    together = Window.partitionBy(*keys, "chunk")
+    columns = ["order_id", "amount", "path", "all_times", "before_first_order"]
     return (
-        segments.withColumn("_chunk", F.explode(chunks))
+        segments.withColumn("chunk", F.explode(chunks))
         .withColumn("before_first_order", F.coalesce(F.max(visits).over(together), F.lit(0)))
-        .where(own_chunk == F.col("_chunk"))
-        .select(*keys, "seg", "order_id", "amount", "path", "all_times", "before_first_order")
+        .where(own_chunk == F.col("chunk"))
+        .select(*keys, "seg", "chunk", *columns)
     )

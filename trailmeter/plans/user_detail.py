@@ -18,7 +18,12 @@ from trailmeter.functions.labels import (
     ranked_channel,
 )
 from trailmeter.operators.joins import left_join_missing_aside, merge_by_key, unique_per_key
-from trailmeter.operators.paths import EventColumns, conversion_paths, number_segments
+from trailmeter.operators.paths import (
+    EventColumns,
+    chunk_of,
+    conversion_paths,
+    number_segments,
+)
 from trailmeter.schemas import DETAIL_COLUMNS
 from trailmeter.sources.days import lagged_day, read_days
 
@@ -86,7 +91,7 @@ def unified_events(
 
 
 def user_summary(events: DataFrame) -> DataFrame:
-    """Per user and day: kind, distinct visits, channel label and number of channels.
+    """Per user and day: kind, distinct visits, channel label, number of channels, orders.
 
     Users without any id match nothing later on, so they are left out before the shuffle.
     """
@@ -97,6 +102,7 @@ def user_summary(events: DataFrame) -> DataFrame:
             F.min("attr").alias("attr"),
             F.count_distinct("pv_id").alias("tc_visit_times"),
             channel_set(ranked_channel(F.col("chan_second_cate_desc_bel"))).alias("_label"),
+            F.count_if("is_order").alias("_orders"),
         )
     )
     return summary.withColumns(
@@ -122,6 +128,7 @@ def user_paths(
     )
     return paths.select(
         *USER,
+        F.col("chunk").alias("_chunk"),
         F.col("order_id").alias("parent_sale_ord_id"),
         F.col("path").alias("visit_chan_cate2_cds_with_times"),
         "all_times",
@@ -219,16 +226,24 @@ def user_detail(
         raise ValueError(f"unknown version: {version!r}")
     snapshot = version == C.SNAPSHOT
     events = unified_events(visits, order_facts, start, end, empty_account_is_missing)
-    per_user = user_summary(events).join(
-        user_paths(events, distinct_visits, cumulative), USER
-    )
-    detail = left_join_missing_aside(
+    identities = left_join_missing_aside(
         tagged_identities(events, tags, start, end),
-        per_user,
+        user_summary(events),
         "user_id",
         also=["dt"],
         empty_is_missing=False,
     )
+    # Identities meet paths chunk by chunk, so a user with very many orders is several groups here.
+    # Paths are laid out by chunk already. The last chunk may be empty; only chunk 0 never is.
+    last_chunk = F.coalesce(chunk_of(F.col("_orders")), F.lit(0).cast("bigint"))
+    chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
+    detail = left_join_missing_aside(
+        identities.withColumn("_chunk", chunks),
+        user_paths(events, distinct_visits, cumulative),
+        "user_id",
+        also=["dt", "_chunk"],
+        empty_is_missing=False,
+    ).where((F.col("_chunk") == 0) | F.col("parent_sale_ord_id").isNotNull())
     other = C.OTHER_CHANNELS_SNAPSHOT if snapshot else C.OTHER_CHANNELS
     return detail.withColumns(
         {
