@@ -16,6 +16,10 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
+            # Compiling plans takes far longer than running them on a few rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(),
@@ -26,6 +30,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module")
+def fixed_plans(spark):
+    """Run a module without adaptive planning, for many small queries."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture
 def make(spark):
     """Build a frame from dicts; columns left out of a row are NULL."""

@@ -10,6 +10,8 @@ import test_monitor
 import test_orders
 import test_user_detail
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 DAY, BEFORE = "2024-01-02", "2024-01-01"
 
 

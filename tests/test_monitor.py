@@ -7,6 +7,8 @@ from trailmeter.plans import monitor as M
 from trailmeter.plans.page_views import page_view_monitor
 from trailmeter.schemas import CLICKS, PAGE_VIEWS, WIDE
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 DAY = "2024-01-01"
 CLICK = {
     "dt": DAY,

@@ -1,6 +1,10 @@
+import pytest
+
 from trailmeter.plans import orders as O
 from trailmeter.schemas import ACCOUNT_NAMES, ORDER_LABELS, ORDERS, SNAPSHOT_ORDERS
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 DAY = "2024-04-01"
 LINE = {
     "dt": DAY,

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from trailmeter.operators import paths
 from trailmeter.operators.running import running_sum_before
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 COLS = paths.EventColumns(
     keys=["day", "u"],
     time="t",
@@ -67,7 +69,8 @@ def naive(events, distinct=False, cumulative=False):
 
 def computed(spark, events, **options):
     df = paths.conversion_paths(spark.createDataFrame(events, SCHEMA), COLS, **options)
-    return [(*r[:4], float(r[4]), *r[5:]) for r in df.collect()]
+    assert df.where(F.col("chunk") != F.floor(F.col("seg") / paths.SEGMENT_CHUNK)).count() == 0
+    return [(*r[:4], float(r[4]), *r[5:]) for r in df.drop("chunk").collect()]
 
 
 def random_events(seed, size, users, minutes):

@@ -8,6 +8,8 @@ from harness import queries
 from harness.compare import difference
 from harness.oracle import ORACLE
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

@@ -6,6 +6,8 @@ from trailmeter import constants as C
 from trailmeter.plans import rollup as R
 from trailmeter.schemas import DETAIL, ROLLUP_COLUMNS
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 DAYS = ("2024-01-01", "2024-01-02")
 
 

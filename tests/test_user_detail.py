@@ -6,6 +6,8 @@ from trailmeter.operators import paths
 from trailmeter.plans import user_detail as U
 from trailmeter.plans.orders import FACT_KEYS
 
+pytestmark = pytest.mark.usefixtures("fixed_plans")
+
 DAY, BEFORE = "2024-01-02", "2024-01-01"
 FACTS = ", ".join(f"{n} string" for n in FACT_KEYS) + ", after_prefr_amount_1 double"
 
