@@ -40,6 +40,16 @@ def fixed_plans(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+@pytest.fixture(scope="module")
+def compiled_plans(spark):
+    """Run a module as a cluster would: adaptive planning and compiled plans."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+
+
 @pytest.fixture
 def make(spark):
     """Build a frame from dicts; columns left out of a row are NULL."""

@@ -8,7 +8,7 @@ from harness import queries
 from harness.compare import difference
 from harness.oracle import ORACLE
 
-pytestmark = pytest.mark.usefixtures("fixed_plans")
+pytestmark = pytest.mark.usefixtures("compiled_plans")
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
