@@ -100,9 +100,10 @@ def write_days(
             .parquet(path)
         )
     if days is not None:
-        first, last = parse_range(*clear)
+        stored = read_days(spark.read.schema("dt string").parquet(path), *clear)
+        written = days.get["written"]
         empty = spark.createDataFrame([], StructType([f for f in df.schema if f.name != "dt"]))
-        for n in range((last - first).days + 1):
-            day = (first + timedelta(days=n)).isoformat()
-            if f'"{day}"' not in days.get["written"]:
+        # One small write per stored day that this run had no rows for.
+        for (day,) in stored.select("dt").distinct().collect():
+            if f'"{day}"' not in written:
                 empty.write.mode("overwrite").parquet(f"{path}/dt={day}")
