@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmeter.llm.common import components, stored
@@ -146,7 +146,8 @@ def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 )
 
     wanted = ids.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    # As many ids as documents with partners: they grow with the data, so they are never broadcast.
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id")
     return texts.mapInArrow(sets, "node long, set binary").dropDuplicates(["node"])
 
 
@@ -218,19 +219,26 @@ def near_duplicates(
     left = tested.join(mark, "a", "left").withColumn("c", F.coalesce("c", "a"))
     index = stored(left.select("a", "b", "c", "linked", F.explode("rest").alias("s")))
     busy = index.groupBy("b", "s").agg(
-        F.min("c").alias("x"), F.max("c").alias("y"), F.min("linked").alias("all")
+        F.min("c").alias("x"), F.max("c").alias("y"), F.min("linked").alias("all"), F.count("c").alias("f")
+    )
+    busy = index.join(busy.where("x < y and not all").select("b", "s", "f"), ["b", "s"])
+    # Of the q shingles of a that others have as well, a partner shares need at least; so it shares one of
+    # the rarest q - need + 1.
+    small = left.groupBy("b").agg(F.min("na").alias("least"))
+    rare = Window.partitionBy("b", "a")
+    need = f"ceil({percent} * (na + least) / {100 + percent}) - shared"
+    sized = left.join(small, "b").select("b", "a", "na", "shared", F.expr(need).alias("need"))
+    busy = busy.withColumn("q", F.count("s").over(rare))
+    busy = busy.withColumn("i", F.row_number().over(rare.orderBy("f", "s")))
+    busy = stored(
+        busy.join(sized, ["b", "a"]).where("i <= q - greatest(need, 1) + 1").drop("f", "i", "need")
     )
-    busy = stored(index.join(busy.where("x < y and not all").select("b", "s"), ["b", "s"]))
-    # What two nodes can share at most beside p: the fewer of their shingles that any other has as well.
-    bound = busy.groupBy("b", "a").agg(F.count("s").alias("q"))
-    busy = stored(busy.join(left.select("b", "a", "na", "shared").join(bound, ["b", "a"]), ["b", "a"]))
     other = busy.select("b", "s", *[F.col(x).alias(f"{x}2") for x in ("a", "c", "na", "shared", "q")])
     across = busy.where("not linked").join(other, ["b", "s"]).where(
         "c <> c2 and "
         f"{100 + percent} * (least(shared, shared2) + least(q, q2)) >= {percent} * (na + na2)"
     )
     across = across.select("a", "a2")
-    small = left.groupBy("b").agg(F.min("na").alias("least"))
     mine = left.where("not linked").join(small, "b")
     mine = mine.where(f"{100 + percent} * shared >= {percent} * (na + least)")
     mine = mine.select("b", F.col("a").alias("a2"), F.col("c").alias("c2"), F.col("na").alias("n2"),
