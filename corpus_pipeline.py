@@ -7,26 +7,67 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmeter.llm.common import table
+from trailmeter.llm.common import stored, table
+from trailmeter.llm.decontaminate import contaminated
 from trailmeter.llm.near_dedup import near_duplicates
+from trailmeter.llm.packing import packed
+from trailmeter.llm.quality import quality
+from trailmeter.llm.secret_scan import redacted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs less those whose id is among ids; both grow with the data, so neither is broadcast by hint."""
+    gone = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or the outlier verdict rejects go."""
+    return _without(docs, quality(docs).where("not kept"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of the smallest id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    ids = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return ids.select(*COLUMNS)
+    return _without(docs, near_duplicates(docs).where("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its error budget go."""
+    return _without(docs, stored(contaminated(docs, table(spark, sf_dir, "benchmark"))))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are masked; the number of characters follows the new text."""
+    changed = ~F.col("text").eqNullSafe(F.col("_before"))
+    clean = redacted(docs.select(*COLUMNS, F.col("text").alias("_before")))
+    n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents left, as pieces of packed sequences."""
+    return packed(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
 
+#: Estimates, sketches and linear programs are beyond SQL; tests/llm checks stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another; each result is stored, as the next stage reads it several times."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = stored(docs)
     return docs
