@@ -147,13 +147,14 @@ def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """docs with each found span replaced by the mark; overlapping spans become one mark."""
+    """docs with each found span replaced by the mark; overlapping spans become one mark. Column names
+    that begin with __llm_ are reserved."""
     found = secrets(docs, max_owners).where("spans <> ''")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
-    found = found.dropDuplicates(["_id", "_hash"])
-    own = docs.withColumn("_own", F.xxhash64(F.coalesce("text", F.lit("")), F.char_length(F.coalesce("text", F.lit("")))))
+    found = found.select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash"), F.col("found").alias("__llm_found"))
+    found = found.dropDuplicates(["__llm_id", "__llm_hash"])
+    own = docs.withColumn("__llm_own", F.xxhash64(F.coalesce("text", F.lit("")), F.char_length(F.coalesce("text", F.lit("")))))
     joined = own.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left"
+        found, F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_own") == F.col("__llm_hash")), "left"
     )
 
     def step(a: Column, s: Column) -> Column:
@@ -167,5 +168,5 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", max_owners: int = MAX_OWNE
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rest = lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(F.aggregate("found", start, step, rest))
-    return joined.withColumn("text", text).drop("_own", "_id", "_hash", "found")
+    text = F.when(F.col("__llm_found").isNull(), F.col("text")).otherwise(F.aggregate("__llm_found", start, step, rest))
+    return joined.withColumn("text", text).drop("__llm_own", "__llm_id", "__llm_hash", "__llm_found")

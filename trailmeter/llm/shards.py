@@ -56,7 +56,9 @@ class Split:
         left, right = self.before + upto - weight, self.before + upto
         level = len(self.cut)
         if (low == high and level == 2) or min(right - self.aim, self.aim - left) <= self.bound:
-            self.cut.append(high if right - self.aim <= self.aim - left else low - 1)
+            # Below the least long there is no value to cut at.
+            after = right - self.aim <= self.aim - left or low == -(2**63)
+            self.cut.append(high if after else low - 1)
             self.done = True
             return
         self.before = left

@@ -68,9 +68,9 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs with the repeated units cut out of the text, and removed: their spans in the original text."""
-    spans = repeated(docs, least_words).groupBy(F.col("doc_id").alias("_id"))
+    spans = repeated(docs, least_words).groupBy(F.col("doc_id").alias("__llm_id"))
     spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__llm_id")), "left")
 
     def step(a: Column, s: Column) -> Column:
         before = F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
@@ -83,4 +83,4 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         step,
         lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(text)).drop("_id")
+    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(text)).drop("__llm_id")

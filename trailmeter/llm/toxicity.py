@@ -34,7 +34,9 @@ TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 #: Landmarks of each kind, discount of a gap, bins of the triple table, letters of one piece of a word.
 LANDMARKS, DISCOUNT, BINS, PIECE = 400, 0.7, 1 << 20, 30
 #: Evidence (log likelihood ratio) from which a word counts as an example of toxic ones.
-EVIDENCE = 9.0
+EVIDENCE = 12.0
+#: Value from which a word counts as one of the worst.
+MARGIN = 0.7
 #: Words that a task remembers the values of.
 REMEMBERED = 400_000
 _GAPS = [(i, j) for j in range(2, 5) for i in range(1, j)]
@@ -130,7 +132,7 @@ def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
         return gain if p > share else -gain
 
     judged = [(evidence(a, b), w, a, b) for w, a, b in counts]
-    bad = sorted((x for x in judged if x[0] >= EVIDENCE and x[2] * clean >= 9 * x[3] * toxic), reverse=True)
+    bad = sorted((x for x in judged if x[0] >= EVIDENCE and x[2] * clean >= 30 * x[3] * toxic), reverse=True)
     good = [x for x in judged if x[3] > 0 and x[0] < 2]
     if not bad or not good:
         return None
@@ -144,8 +146,10 @@ def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
     whiten = vectors[:, keep] / np.sqrt(values[keep])
     x = kernel(bad_words + good_words, marks) @ whiten
     y = np.r_[np.ones(len(bad_words)), -np.ones(len(good_words))]
-    cost = np.r_[np.full(len(bad_words), len(good_words) / len(bad_words) / 4), np.ones(len(good_words))]
-    w = machine(x, y, np.clip(cost, 0.25, 25))
+    # The stronger the evidence for a word, the dearer it is to miss it.
+    even = len(good_words) / len(bad_words) / 4
+    cost = np.r_[[even * e[0] / EVIDENCE / 4 for e in bad], np.ones(len(good_words))]
+    w = machine(x, y, np.clip(cost, 0.1, 1_000))
     weight = whiten @ w[:-1]
     table = np.zeros(BINS, np.float32)
     bins, weights = triples(marks)
@@ -155,7 +159,7 @@ def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
 
 
 def _measured(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """docs with worst (the highest value of a word) and beyond (words of positive value), not the text."""
+    """docs with worst (the highest value of a word) and beyond (words of more than MARGIN), not the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +176,7 @@ def _measured(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 for s in sets:
                     values = [known[w] for w in s]
                     worst.append(max(values, default=-5.0))
-                    beyond.append(sum(v > 0 for v in values))
+                    beyond.append(sum(v > MARGIN for v in values))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(worst, pa.float64()), pa.array(beyond, pa.int64())],
                 [*keep, "worst", "beyond"],
