@@ -27,7 +27,7 @@ def expected(sf_dir: str, sql: str) -> pd.DataFrame:
 def _rows(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     cleaned = [
-        ["" if pd.isna(v) else f"{v:.6f}" if isinstance(v, float) else str(v) for v in frame[c]]
+        ["\0" if pd.isna(v) else f"{v:.6f}" if isinstance(v, float) else str(v) for v in frame[c]]
         for c in frame.columns
     ]
     return sorted(zip(*cleaned)) if cleaned else []

@@ -73,9 +73,10 @@ def test_missing_ids_are_counted_by_their_own_spelling(clicks):
     assert only(M.run_check(M.EMPTY_CLICK_ID, third), *names) == (4, 1)
 
 
-def test_billed_flag_is_text(clicks):
-    rows = clicks(*[{"is_bill": flag} for flag in ["0", "1", "", None, "none"]])
-    assert only(M.run_check(M.BILLED_TOTAL, rows), "detail_rtb_clicks") == (3,)
+def test_billed_flag_is_a_number(clicks):
+    flags = ["0", "1", "", None, "none", "01"]
+    rows = clicks(*[{"is_bill": flag} for flag in flags])
+    assert only(M.run_check(M.BILLED_TOTAL, rows), "detail_rtb_clicks") == (1,)
 
 
 def test_event_types_that_are_no_number_count_on_neither_side(clicks):

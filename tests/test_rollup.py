@@ -140,3 +140,24 @@ def test_snapshot_measures_go_to_the_first_columns(detail):
     rows = [row("a", "d1", "p1", "order", dp="snapshot")]
     (total,) = level(R.rollup(detail(rows), DAYS[0], version=C.SNAPSHOT), "0")
     assert (total.deal_order_num_toc_t1, total.deal_order_num_toc_t2, total.dp) == (1, 0, "snapshot")
+
+
+def test_history_is_kept_as_stable_and_unknown_versions_fail(detail):
+    df = detail(random_detail(4, 200))
+    stable = R.rollup(df, *DAYS, "stable").count()
+    assert stable and R.rollup(df, *DAYS, "history").count() == stable
+    with pytest.raises(ValueError, match="unknown version"):
+        R.rollup(df, *DAYS, "other")
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_visits_are_those_of_all_users(make, missing):
+    """Users that the detail tells apart by device stay apart in the rollup."""
+    rows = [
+        {"dt": DAYS[0], "tp": "day", "dp": "stable", "platform": "APP", "attr": "visit",
+         "unif_user_log_acct": "", "browser_uniq_id": d, "tc_visit_times": n}
+        for d, n in (("d1", 1), ("d2", 2))
+    ]
+    levels = R.rollup_levels(make(rows, DETAIL), *DAYS, "stable", missing)
+    total = levels.where("lvl = '0' or lvl = 0").select("tc_user_visits").collect()
+    assert [r[0] for r in total] == [3 if missing else 2]

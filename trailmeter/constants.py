@@ -131,5 +131,5 @@ STABLE = "stable"
 HISTORY = "history"
 
 # Money is added as a decimal, so a sum does not depend on the order of rows.
-MONEY = "decimal(18,6)"
+MONEY = "decimal(22,6)"
 MONEY_SUM = "decimal(28,6)"

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# No account or device id starts with this character.
-STAND_IN = "\u0000"
-
-
 def left_join_missing_aside(
     left: DataFrame,
     right: DataFrame,
@@ -22,19 +18,20 @@ def left_join_missing_aside(
     """``left LEFT JOIN right`` on ``key`` and the columns ``also``; missing keys match nothing.
 
     A plain join sends every row without a key to one task. Here such a row gets a stand-in made
-    from a hash of the row, which no key on the right equals, so these rows spread over all tasks.
-    Unlike a random stand-in it is the same when a lost task runs again. The left side is read once,
-    and a right side that is grouped by ``also`` and ``key`` needs no second shuffle.
+    from a hash of the row, so these rows spread over all tasks. Unlike a random stand-in it is the
+    same when a lost task runs again. Whether a row has a key is part of the join condition, so no
+    value of a key is set apart. Left rows that are equal in all columns share a stand-in: make them
+    distinct first if there can be many. The left side is read once, and a right side that is grouped
+    by ``also`` and ``key`` needs no second shuffle.
     """
-    columns = left.columns
     value = F.nullif(F.col(key), F.lit("")) if empty_is_missing else F.col(key)
-    stand_in = F.concat(F.lit(STAND_IN), F.xxhash64(*columns).cast("string"))
-    known = right.where(value.isNotNull() & ~F.col(key).startswith(STAND_IN))
-    return (
-        left.withColumn("_key", F.coalesce(value, stand_in))
-        .join(known.withColumnRenamed(key, "_key"), [*also, "_key"], "left")
-        .drop("_key")
-    )
+    stand_in = F.xxhash64(*left.columns).cast("string")
+    keyed = left.withColumns({"_key": F.coalesce(value, stand_in), "_known": value.isNotNull()})
+    names = {name: f"_right_{name}" for name in [*also, key]}
+    known = right.where(value.isNotNull()).withColumnsRenamed(names)
+    same = [F.col(name) == F.col(names[name]) for name in also]
+    on = [*same, F.col("_key") == F.col(names[key]), F.col("_known")]
+    return keyed.join(known, on, "left").drop("_key", "_known", *names.values())
 
 
 def unique_per_key(df: DataFrame, keys: dict[str, Column], **picks: Column) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Export of the rollup to a table partitioned by day and shard."""
+"""Export of the rollup to a table partitioned by day, with a shard key in each row."""
 
 from __future__ import annotations
 

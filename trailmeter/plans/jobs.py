@@ -88,9 +88,11 @@ def run_rollup(
     start: str,
     end: str | None = None,
     version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> None:
     (detail,) = _read(spark, paths, "detail")
-    write_days(rollup.rollup(detail, start, end, version), out, VERSION_PARTITIONS)
+    rows = rollup.rollup(detail, start, end, version, empty_account_is_missing)
+    write_days(rows, out, VERSION_PARTITIONS)
 
 
 def run_export(

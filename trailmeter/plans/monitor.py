@@ -59,6 +59,13 @@ def _off_site() -> Column:
 
 
 def _billed(*partitions: str) -> Column:
+    """The flag as a number: an empty or unreadable one is neither billed nor unbilled."""
+    flag = F.col("is_bill").try_cast("int")
+    return F.col("dp").isin(*partitions) & (flag != int(C.NOT_BILLED))
+
+
+def _billed_as_text(*partitions: str) -> Column:
+    """The flag as text, as the matching compares it."""
     return F.col("dp").isin(*partitions) & (F.col("is_bill") != C.NOT_BILLED)
 
 
@@ -222,7 +229,7 @@ def matched_clicks(clicks: DataFrame, drop_empty_keys: bool = False) -> DataFram
     )
     client = rows.where(F.col("event_type").isin(*map(str, C.CLIENT_EVENT_TYPES)))
     counted = client.groupBy(*match, *KEYS[1:]).agg(F.count(F.lit(1)).alias("_rows"))
-    billed = rows.where(_billed(C.BILLED_PARTITION)).select(*match).distinct()
+    billed = rows.where(_billed_as_text(C.BILLED_PARTITION)).select(*match).distinct()
     return (
         counted.join(billed, match, "left_semi")
         .groupBy(*KEYS)
@@ -238,7 +245,7 @@ def matched_clicks_one_scan(clicks: DataFrame, drop_empty_keys: bool = False) ->
     """
     match = ["dt", "_session", "_item"]
     is_client = F.col("event_type").isin(*map(str, C.CLIENT_EVENT_TYPES))
-    is_billed = _billed(C.BILLED_PARTITION)
+    is_billed = _billed_as_text(C.BILLED_PARTITION)
     rows = _match_keys(clicks).where(
         _matchable()
         & (is_client | is_billed)

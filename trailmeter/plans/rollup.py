@@ -34,11 +34,23 @@ VERSIONED = {
 }
 
 
-def _detail_rows(detail: DataFrame, start: str, end: str | None, version: str) -> DataFrame:
+def _stored_version(version: str) -> str:
+    """The name under which the detail keeps a version."""
+    if version not in (C.STABLE, C.SNAPSHOT, "history"):
+        raise ValueError(f"unknown version {version!r}")
+    return C.STABLE if version == "history" else version
+
+
+def _detail_rows(
+    detail: DataFrame, start: str, end: str | None, version: str, empty_account_is_missing: bool
+) -> DataFrame:
+    version = _stored_version(version)
     rows = read_days(detail, start, end).where(
         (F.col("platform") == C.APP) & (F.col("tp") == C.DAY) & (F.col("dp") == version)
     )
-    user = identity(F.col("unif_user_log_acct"), F.col("browser_uniq_id"))
+    user = identity(
+        F.col("unif_user_log_acct"), F.col("browser_uniq_id"), empty_account_is_missing
+    )
     return rows.withColumn("user_id", user)
 
 
@@ -53,7 +65,8 @@ def _user_dimensions(by_path: bool) -> list[Column]:
 
 
 def facets(
-    detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False
+    detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """The order, visitor and visit facets in one scan.
 
@@ -61,7 +74,7 @@ def facets(
     the largest value of its dimensions, and fills only the measures it stands for. With ``by_path``
     the path and its frequency label join every grouping.
     """
-    rows = _detail_rows(detail, start, end, version)
+    rows = _detail_rows(detail, start, end, version, empty_account_is_missing)
     path = PATH if by_path else []
     sets = [
         ["dt", "user_id", "parent_sale_ord_id", *path],
@@ -97,10 +110,11 @@ def facets(
 
 
 def facets_by_union(
-    detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False
+    detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """The same facets as three aggregates over three scans: the form the fused one is checked by."""
-    rows = _detail_rows(detail, start, end, version)
+    rows = _detail_rows(detail, start, end, version, empty_account_is_missing)
     path = PATH if by_path else []
 
     def grouped(source: DataFrame, *keys: str, **measures: Column) -> DataFrame:
@@ -128,6 +142,7 @@ def facets_by_union(
 
 def _version_columns(df: DataFrame, version: str) -> DataFrame:
     """Snapshot measures go to the ``t1`` columns and settled ones to ``t2``; the others are 0."""
+    version = _stored_version(version)
     used, unused = ("t1", "t2") if version == C.SNAPSHOT else ("t2", "t1")
     columns = {}
     for name, base in VERSIONED.items():
@@ -184,7 +199,8 @@ def _level(*also: str) -> Column:
 
 
 def rollup_levels(
-    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE
+    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """Levels 0-5 and 7.
 
@@ -192,17 +208,18 @@ def rollup_levels(
     order is one row, so the last step counts rows and needs no distinct aggregate. No step groups
     by a level alone before its rows are combined on the map side.
     """
-    finest = _by_id(facets(detail, start, end, version), DIMENSIONS)
+    finest = _by_id(facets(detail, start, end, version, False, empty_account_is_missing), DIMENSIONS)
     per_id = _by_level(finest, "_kind", "_id").agg(_level("_kind", "_id"), *_sums())
     levels = per_id.groupBy("dt", "lvl", *DIMENSIONS).agg(*_sums(), *_counts())
     return _version_columns(levels, version)
 
 
 def rollup_levels_plain(
-    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE
+    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """Levels 0-5 and 7 as one grouping-sets query with distinct counts over the facet union."""
-    rows = facets_by_union(detail, start, end, version)
+    rows = facets_by_union(detail, start, end, version, False, empty_account_is_missing)
     levels = _by_level(rows).agg(_level(), *_plain_measures())
     return _version_columns(levels, version)
 
@@ -217,27 +234,30 @@ def _plain_measures() -> list[Column]:
 
 
 def rollup_paths(
-    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE
+    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """Level 6: by path, path frequency and user tags. Visits are those of the user's whole day."""
-    rows = facets(detail, start, end, version, by_path=True)
+    rows = facets(detail, start, end, version, True, empty_account_is_missing)
     per_id = _by_id(rows, PATH_DIMENSIONS)
     paths = per_id.groupBy("dt", *PATH_DIMENSIONS).agg(*_sums(), *_counts())
     return _version_columns(paths.withColumn("lvl", F.lit(C.PATH_LEVEL)), version)
 
 
 def rollup_paths_plain(
-    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE
+    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
-    rows = facets_by_union(detail, start, end, version, by_path=True)
+    rows = facets_by_union(detail, start, end, version, True, empty_account_is_missing)
     paths = rows.groupBy("dt", *PATH_DIMENSIONS).agg(*_plain_measures())
     return _version_columns(paths.withColumn("lvl", F.lit(C.PATH_LEVEL)), version)
 
 
 def rollup(
-    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE
+    detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
+    empty_account_is_missing: bool = False,
 ) -> DataFrame:
     """All levels of one version."""
-    return rollup_levels(detail, start, end, version).unionByName(
-        rollup_paths(detail, start, end, version)
+    return rollup_levels(detail, start, end, version, empty_account_is_missing).unionByName(
+        rollup_paths(detail, start, end, version, empty_account_is_missing)
     )
