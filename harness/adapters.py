@@ -110,14 +110,10 @@ def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Users whose account is ''. They count as one user, and the detail pairs all their devices with all
-# their paths, so there are two of them at any scale.
-EMPTY_ACCOUNTS = [11, 22]
-
-
 def _account(prefix: str, suffix: str = "") -> Column:
+    """Every eleventh user has '' as account."""
     name = F.concat(F.lit(prefix), "user_id", F.lit(suffix))
-    return F.when(F.col("user_id").isin(EMPTY_ACCOUNTS), "").otherwise(name)
+    return F.when(_every("user_id", 11), "").otherwise(name)
 
 
 def _owned(account: Column) -> Column:
@@ -202,7 +198,7 @@ def path_order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def path_account_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logins of users with an account, on each day they have events."""
-    named = ~_every("user_id", 7) & ~F.col("user_id").isin(EMPTY_ACCOUNTS)
+    named = ~_every("user_id", 7) & ~_every("user_id", 11)
     return _user_days(spark, sf_dir).where(named).select(
         F.col("day").cast("string").alias("dt"),
         F.concat(F.lit(" L"), "user_id").alias("user_acct_name"),

@@ -216,11 +216,11 @@ from lines group by 1"""
 
 CHANNEL_NAMES = _list(C.CHANNELS)
 ACCOUNT = (
-    "case when user_id % 7 = 0 then null when user_id in (11, 22) then '' "
+    "case when user_id % 7 = 0 then null when user_id % 11 = 0 then '' "
     "else 'u' || user_id end"
 )
 # The snapshot takes the account from the login's name, or the login itself.
-NAMED = "if(user_id % 7 = 0 or user_id in (11, 22), 'l', 'u') || user_id"
+NAMED = "if(user_id % 7 = 0 or user_id % 11 = 0, 'l', 'u') || user_id"
 
 VISITS = f"""visits as (
   select strftime(ts, '%Y-%m-%d') as dt, {ACCOUNT} as acct, 'l' || user_id as login,
@@ -243,13 +243,10 @@ def _deals(account: str) -> str:
 
 EVENTS = """ev as (
   select dt, acct, login, device, chan, pv, '' as parent, tm,
-    cast(0 as decimal(18,2)) as amount, 0 as o, coalesce(acct, device) as uid
+    cast(0 as decimal(18,2)) as amount, 0 as o, coalesce(nullif(acct, ''), device) as uid
   from visits where app
   union all
-  select dt, acct, login, null, null, null, parent, tm, amount, 1, acct from deals)"""
-EVENTS_EMPTY_MISSING = EVENTS.replace(
-    "coalesce(acct, device) as uid", "coalesce(nullif(acct, ''), device) as uid"
-).replace("amount, 1, acct from", "amount, 1, nullif(acct, '') from")
+  select dt, acct, login, null, null, null, parent, tm, amount, 1, nullif(acct, '') from deals)"""
 STABLE_DEALS = _deals(ACCOUNT)
 SNAPSHOT_DEALS = _deals(NAMED)
 
@@ -360,13 +357,13 @@ def _detail_cte(version: str) -> str:
   left join cust g on i.device = g.d)"""
 
 
-def _detail_with(version: str = C.STABLE, events: str = EVENTS) -> str:
+def _detail_with(version: str = C.STABLE) -> str:
     deals = SNAPSHOT_DEALS if version == C.SNAPSHOT else STABLE_DEALS
-    return _with(VISITS, deals, events, SUMMARY, EVENT_PATHS, TAGS, _detail_cte(version))
+    return _with(VISITS, deals, EVENTS, SUMMARY, EVENT_PATHS, TAGS, _detail_cte(version))
 
 
-def _detail(version: str = C.STABLE, events: str = EVENTS) -> str:
-    return f"{_detail_with(version, events)}select * from detail"
+def _detail(version: str = C.STABLE) -> str:
+    return f"{_detail_with(version)}select * from detail"
 
 
 # --- rollup ----------------------------------------------------------------------
@@ -380,7 +377,7 @@ def _facets(by_path: bool) -> str:
     dims = f"""{MULTI} as is_visit_multi_chan, max(tc_visit_chan) as tc_visit_chan,
     max(user_visit_freq) as user_visit_freq, max(user_life_cycle_type) as user_life_cycle_type,
     max(user_visitcycle) as user_visitcycle, max(user_buycycle) as user_buycycle{path}"""
-    return f"""d as (select *, coalesce(unif_user_log_acct, browser_uniq_id) as uid from detail),
+    return f"""d as (select *, coalesce(nullif(unif_user_log_acct, ''), browser_uniq_id) as uid from detail),
 facets as (
   select dt, {dims}, null as device, if(min(attr) = 'order', uid, null) as buyer,
     nullif(parent_sale_ord_id, '') as deal, 0 as visits,
@@ -544,7 +541,7 @@ select event_id, account, segment from e left join r on nullif(account, '') = k"
     "user_detail": _detail(),
     "user_detail_history": _detail(),
     "user_detail_snapshot": _detail(C.SNAPSHOT),
-    "user_detail_empty_as_missing": _detail(events=EVENTS_EMPTY_MISSING),
+    "user_detail_empty_as_missing": _detail(),
     "rollup_levels": _levels(),
     "rollup_levels_plain": _levels(),
     "rollup_path_level": _path_level(),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -24,9 +23,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder the cluster shares; a local one only where none is set."""
+    """A new path in the folder the cluster shares. Only a local session, where driver and executors
+    are one machine, gets a folder of its own when none is set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return os.path.join(shared or tempfile.mkdtemp(), f"{name}-{uuid.uuid4().hex}")
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="trailmeter-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _clicks(spark, sf_dir):

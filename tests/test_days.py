@@ -33,6 +33,30 @@ def test_read_days_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
+def test_only_the_asked_days_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(30).select(
+        F.col("id").cast("int"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+        .cast("string").alias("dt")
+    )
+    rows.repartition(1).write.partitionBy("dt").parquet(path)
+    schema = "id int, dt string"
+    one = days.read_table(spark, path, schema, days.days_of("2024-01-05", None))
+    assert [tuple(r) for r in one.collect()] == [(4, "2024-01-05")] and len(one.inputFiles()) == 1
+    lagged = days.read_table(spark, path, schema, days.days_of("2024-01-01", "2024-01-02", lag=1))
+    assert sorted(r.id for r in lagged.collect()) == [0, 1]
+    # No day found, or another layout: the whole table, for the day filter to cut.
+    none = days.read_table(spark, path, schema, ["2025-01-01"])
+    assert days.read_days(none, "2025-01-01").count() == 0
+    other = str(tmp_path / "o")
+    spark.read.schema(schema).parquet(path).withColumn("tp", F.lit(1)).write.partitionBy("tp", "dt").parquet(other)
+    assert days.read_table(spark, other, f"{schema}, tp int", ["2024-01-05"]).count() == 30
+
+
+def test_quarters_of_a_range():
+    assert days.quarters_of("2023-12-31", "2024-04-01") == ["2023-10-01", "2024-01-01", "2024-04-01"]
+
+
 def test_lagged_day_crosses_a_month(spark):
     df = spark.createDataFrame([("2024-02-29",)], "dt string")
     assert df.select(days.lagged_day(1)).first()[0] == "2024-03-01"

@@ -38,7 +38,7 @@ def test_files_replace_their_days_and_are_sorted(rollup, spark, tmp_path):
     path = str(tmp_path / "out")
     many = [{"dp": "stable", "lvl": str(n % 8), "tc_visit_chan": f"c{n % 5}"} for n in range(200)]
     export.export_files(rollup(*many, {"dp": "stable", "dt": "2024-01-02"}), path, DAY, "2024-01-02")
-    export.export_files(rollup(*many[:50]), path, DAY, writers=3)
+    export.export_files(rollup(*many[:50]), path, DAY)
     found = spark.read.parquet(path)
     days = found.groupBy(F.col("dt").cast("string")).count().collect()
     assert {tuple(r) for r in days} == {(DAY, 50), ("2024-01-02", 1)}

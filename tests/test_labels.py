@@ -119,7 +119,7 @@ def test_lifecycle(spark, account, status, value, expected):
 
 
 @pytest.mark.parametrize(
-    "account, device, default, missing",
+    "account, device, literal, missing",
     [
         ("a", "d", "a", "a"),
         ("a", None, "a", "a"),
@@ -129,11 +129,12 @@ def test_lifecycle(spark, account, status, value, expected):
         ("", None, "", None),
     ],
 )
-def test_identity(spark, account, device, default, missing):
+def test_identity(spark, account, device, literal, missing):
     values = {"a": ("string", account), "d": ("string", device)}
     a, d = F.col("a"), F.col("d")
-    assert evaluate(spark, keys.identity(a, d), **values) == default
-    assert evaluate(spark, keys.identity(a, d, empty_account_is_missing=True), **values) == missing
+    assert evaluate(spark, keys.identity(a, d), **values) == missing
+    as_it_is = keys.identity(a, d, empty_account_is_missing=False)
+    assert evaluate(spark, as_it_is, **values) == literal
 
 
 @pytest.mark.parametrize(

@@ -176,13 +176,32 @@ def test_running_sum_equals_one_window(spark, rows_of):
     )
 
 
-def test_minutes_follow_the_clock_through_a_time_change(spark):
+def test_seconds_follow_the_clock_through_a_time_change(spark):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
         times = ["2024-03-31 01:59:59", "2024-03-31 02:30:00", "2024-03-31 03:00:00"]
         df = spark.createDataFrame([(t,) for t in times], "t string")
-        minute = paths.minute_of(F.col("t").cast("timestamp_ntz"))
-        found = [r[0] for r in df.select(minute).collect()]
+        second = paths.second_of(F.col("t").cast("timestamp_ntz"))
+        found = [r[0] for r in df.select(second).collect()]
         assert found == sorted(found) and len(set(found)) == 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_hot_minute_and_missing_times_are_spread(spark):
+    """Rows of the fullest slot: the window of a slot is what one task must hold."""
+    cols = paths.EventColumns(**{**vars(COLS), "tie": ["o", "id"], "visits_first": True})
+    second = F.timestamp_micros(F.col("id") * 1000 + F.lit(1_700_000_000_000_000)).cast("timestamp_ntz")
+    rows = spark.range(60_000).select(
+        F.lit("d").alias("day"), F.lit("u").alias("u"), F.when(F.col("id") % 2 == 0, second).alias("t"),
+        F.col("id").cast("int").alias("id"), (F.col("id") % 1000 == 0).alias("o"), F.lit("c").alias("c"),
+        F.col("id").cast("string").alias("oid"), F.lit(1).alias("m"), F.lit("v").alias("v"),
+    )
+    numbered = paths.number_segments(rows, cols)
+    late = numbered.where("not o").agg(
+        F.max(F.when(F.col("t").isNull(), F.col("seg"))), F.max("seg"), F.min("_orders")
+    )
+    assert tuple(late.first()) == (0, 60, 60)
+    slot = paths.second_of(F.col("t"))
+    fullest = rows.where("t is not null").groupBy(slot).count().agg(F.max("count")).first()[0]
+    assert fullest <= 500

@@ -76,15 +76,22 @@ def test_device_only_and_no_identity(detail):
     assert lost.user_life_cycle_type == C.NO_ACCOUNT
 
 
-def test_empty_accounts_merge_unless_asked(detail):
+def test_empty_accounts_merge_only_if_asked(detail):
     visits = [visit("", "d1"), visit("", "d2", pv="v2")]
-    merged = detail(visits)
+    merged = detail(visits, empty_account_is_missing=False)
     assert [r.tc_visit_times for r in merged] == [2, 2]
     assert {r.user_life_cycle_type for r in merged} == {None}
-    apart = detail(visits, empty_account_is_missing=True)
+    apart = detail(visits)
     assert [r.tc_visit_times for r in apart] == [1, 1]
 
 
+def test_empty_accounts_add_rows_in_proportion(detail):
+    few, many = (
+        len(detail([visit("", f"d{n}", pv=f"v{n}") for n in range(users)])) for users in (10, 20)
+    )
+    assert (few, many) == (10, 20)
+
+
 def test_order_without_consumer_id_still_makes_an_order_user(detail):
     (row,) = detail([], [order("a", parent="", amount=0.0)])
     assert (row.attr, row.parent_sale_ord_id, row.tc_visit_times) == ("order", "", 0)

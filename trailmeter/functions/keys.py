@@ -12,8 +12,8 @@ def normal_account(account: Column) -> Column:
     return F.lower(F.trim(account))
 
 
-def identity(account: Column, device: Column, empty_account_is_missing: bool = False) -> Column:
-    """The account, else the device. By default '' is an account like any other."""
+def identity(account: Column, device: Column, empty_account_is_missing: bool = True) -> Column:
+    """The account, else the device. '' is no account, unless it is to count as one like any other."""
     if empty_account_is_missing:
         account = F.nullif(account, F.lit(""))
     return F.coalesce(account, device)

@@ -13,6 +13,8 @@ from trailmeter.operators.running import running_sum_before
 
 # Segments of one user that one task numbers or compares together.
 SEGMENT_CHUNK = 10_000
+# The slot of events without a time, before all others; before it, slots for visits without a time.
+NO_TIME, TIMELESS_SLOTS = -(1 << 50), 256
 
 
 @dataclass(frozen=True)
@@ -20,7 +22,8 @@ class EventColumns:
     """Where to find things in an event table.
 
     ``time`` should be a TIMESTAMP_NTZ. ``tie`` orders events of equal time; together with the time
-    it must leave no open choice that a path could show.
+    it must leave no open choice that a path could show. ``visits_first`` says that ``tie`` puts the
+    visits of one time before its orders.
     """
 
     keys: list[str]
@@ -31,6 +34,7 @@ class EventColumns:
     order_id: str
     amount: str
     visit_id: str | None = None
+    visits_first: bool = False
 
 
 def chunk_of(segment: Column) -> Column:
@@ -38,26 +42,32 @@ def chunk_of(segment: Column) -> Column:
     return F.floor(segment / SEGMENT_CHUNK)
 
 
-def minute_of(time: Column) -> Column:
-    """Minutes since 1970 by the clock fields, so that no time zone rule can reverse two events."""
+def second_of(time: Column) -> Column:
+    """Seconds since 1970 by the clock fields, so that no time zone rule can reverse two events."""
     time = time.cast("timestamp_ntz")
     days = F.unix_date(time.cast("date")).cast("bigint")
-    minute = days * 1440 + F.hour(time) * 60 + F.minute(time)
-    return F.coalesce(minute, F.lit(-(1 << 40)))
+    second = days * 86_400 + F.hour(time) * 3_600 + F.minute(time) * 60 + F.second(time).cast("int")
+    return F.coalesce(second, F.lit(NO_TIME))
 
 
 def number_segments(events: DataFrame, cols: EventColumns) -> DataFrame:
     """Add ``seg`` (orders strictly before the event) and ``_orders`` (orders of that user and day).
 
-    A user and day has at most 1,440 minutes, which bounds the outer window; a user with a third of
-    all rows is spread over those minutes.
+    A user and day has at most 86,400 seconds, which bounds the outer window; a user with a third of
+    all rows is spread over those seconds. Visits without a time come before all else where visits
+    come first, so their order among themselves doesn't matter and a hash of the row spreads them.
     """
-    slotted = events.withColumn("_minute", minute_of(F.col(cols.time))).withColumn(
+    second = second_of(F.col(cols.time))
+    if cols.visits_first:
+        part = F.pmod(F.xxhash64(*events.columns), F.lit(TIMELESS_SLOTS)) + 1
+        timeless = F.col(cols.time).isNull() & ~F.col(cols.is_order)
+        second = F.when(timeless, NO_TIME - part).otherwise(second)
+    slotted = events.withColumn("_slot", second).withColumn(
         "_order", F.col(cols.is_order).cast("bigint")
     )
     order = [F.col(cols.time), *[F.col(name) for name in cols.tie]]
-    numbered = running_sum_before(slotted, cols.keys, "_minute", order, "_order", "seg", "_orders")
-    return numbered.drop("_minute", "_order")
+    numbered = running_sum_before(slotted, cols.keys, "_slot", order, "_order", "seg", "_orders")
+    return numbered.drop("_slot", "_order")
 
 
 def _visit_counts(events: DataFrame, cols: EventColumns, distinct: bool, cumulative: bool):

@@ -45,21 +45,16 @@ def export_files(
     start: str,
     end: str | None = None,
     pattern: str = NORMAL,
-    writers: int = C.EXPORT_WRITERS,
 ) -> None:
-    """Replace the exported days, in files sorted by the store's key.
+    """Replace the exported days, in files of about 256 MB, each sorted by the store's key.
 
-    A day is spread over ``writers`` parts by shard key. The day is the only partition column: with
-    the part as a second one, a rerun would leave behind the parts it has no rows for. Days of the
-    range without rows end up empty.
+    A day takes as many tasks as its bytes ask for. The day is the only partition column: with a part
+    as a second one, a rerun would leave behind the parts it has no rows for. Days of the range
+    without rows end up empty.
     """
-    part = F.pmod(F.col(SHARD), F.lit(writers))
-    rows = (
-        export_rows(rollup, start, end, pattern)
-        .repartition("dt", part)
-        .sortWithinPartitions("dt", *C.EXPORT_SORT)
+    write_days(
+        export_rows(rollup, start, end, pattern), path, clear=(start, end or start), sort=C.EXPORT_SORT
     )
-    write_days(rows, path, clear=(start, end or start), rebalance=False)
 
 
 def export_jdbc(

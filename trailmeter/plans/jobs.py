@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from trailmeter import constants as C
 from trailmeter import schemas
 from trailmeter.plans import export, monitor, orders, page_views, rollup, user_detail
-from trailmeter.sources.days import read_table, write_days
+from trailmeter.sources.days import days_of, quarters_of, read_table, write_days
 
 VERSION_PARTITIONS = ("dt", "tp", "dp")
 SCHEMAS: dict[str, StructType] = {
@@ -35,14 +35,14 @@ SCHEMAS: dict[str, StructType] = {
 Paths = Mapping[str, str]
 
 
-def _read(spark: SparkSession, paths: Paths, *roles: str):
-    return [read_table(spark, paths[role], SCHEMAS[role]) for role in roles]
+def _read(spark: SparkSession, paths: Paths, days: list[str], *roles: str):
+    return [read_table(spark, paths[role], SCHEMAS[role], days) for role in roles]
 
 
 def run_click_monitor(
     spark: SparkSession, paths: Paths, out: str, start: str, end: str | None = None
 ) -> None:
-    clicks, wide = _read(spark, paths, "clicks", "wide")
+    clicks, wide = _read(spark, paths, days_of(start, end), "clicks", "wide")
     rows = monitor.click_monitor(clicks, wide, start, end)
     columns = [*monitor.KEYS[1:], *C.MONITOR_MEASURES, "dt"]
     write_days(rows.select(*columns), out, clear=(start, end or start))
@@ -51,7 +51,7 @@ def run_click_monitor(
 def run_page_view_monitor(
     spark: SparkSession, paths: Paths, out: str, start: str, end: str | None = None
 ) -> None:
-    (views,) = _read(spark, paths, "page_views")
+    (views,) = _read(spark, paths, days_of(start, end), "page_views")
     rows = page_views.page_view_monitor(views, start, end)
     write_days(rows, out, clear=(start, end or start))
 
@@ -66,16 +66,27 @@ def run_user_detail(
     **options: bool,
 ) -> None:
     """``version``: ``stable``, ``history`` or ``snapshot``; each has its own order tables."""
+    days = days_of(start, end)
     if version == C.SNAPSHOT:
-        tables = _read(spark, paths, "snapshot_orders", "order_labels", "account_names")
+        tables = _read(spark, paths, days, "snapshot_orders", "order_labels", "account_names")
         facts = orders.snapshot_order_facts(*tables, start, end)
     elif version == C.HISTORY:
-        facts = orders.history_order_facts(*_read(spark, paths, "orders"), start, end)
+        facts = orders.history_order_facts(
+            *_read(spark, paths, quarters_of(start, end), "orders"), start, end
+        )
     else:
-        facts = orders.stable_order_facts(*_read(spark, paths, "orders"), start, end)
-    (visits,) = _read(spark, paths, "visits")
+        facts = orders.stable_order_facts(*_read(spark, paths, days, "orders"), start, end)
+    (visits,) = _read(spark, paths, days, "visits")
     tags = user_detail.UserTags(
-        *_read(spark, paths, "lifecycle_tags", "status_tags", "account_tags", "device_tags")
+        *_read(
+            spark,
+            paths,
+            days_of(start, end, lag=1),
+            "lifecycle_tags",
+            "status_tags",
+            "account_tags",
+            "device_tags",
+        )
     )
     rows = user_detail.user_detail(visits, facts, tags, start, end, version, **options)
     write_days(rows, out, VERSION_PARTITIONS)
@@ -88,9 +99,9 @@ def run_rollup(
     start: str,
     end: str | None = None,
     version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> None:
-    (detail,) = _read(spark, paths, "detail")
+    (detail,) = _read(spark, paths, days_of(start, end), "detail")
     rows = rollup.rollup(detail, start, end, version, empty_account_is_missing)
     write_days(rows, out, VERSION_PARTITIONS)
 
@@ -103,5 +114,5 @@ def run_export(
     end: str | None = None,
     pattern: str = export.NORMAL,
 ) -> None:
-    (rows,) = _read(spark, paths, "rollup")
+    (rows,) = _read(spark, paths, days_of(start, end), "rollup")
     export.export_files(rows, out, start, end, pattern)

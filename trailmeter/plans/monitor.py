@@ -275,7 +275,8 @@ def summary_vs_detail_clicks(clicks: DataFrame, wide: DataFrame) -> DataFrame:
 
 def match_check(clicks: DataFrame, drop_empty_keys: bool = False) -> DataFrame:
     """Matched client-side clicks and all billed clicks, one row each."""
-    return _union([matched_clicks(clicks, drop_empty_keys), run_check(BILLED_TOTAL, clicks)])
+    matched = matched_clicks_one_scan(clicks, drop_empty_keys)
+    return _union([matched, run_check(BILLED_TOTAL, clicks)])
 
 
 def cpc_consumption(clicks: DataFrame, wide: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def _user_dimensions(by_path: bool) -> list[Column]:
 
 def facets(
     detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """The order, visitor and visit facets in one scan.
 
@@ -111,7 +111,7 @@ def facets(
 
 def facets_by_union(
     detail: DataFrame, start: str, end: str | None, version: str, by_path: bool = False,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """The same facets as three aggregates over three scans: the form the fused one is checked by."""
     rows = _detail_rows(detail, start, end, version, empty_account_is_missing)
@@ -200,7 +200,7 @@ def _level(*also: str) -> Column:
 
 def rollup_levels(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Levels 0-5 and 7.
 
@@ -216,7 +216,7 @@ def rollup_levels(
 
 def rollup_levels_plain(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Levels 0-5 and 7 as one grouping-sets query with distinct counts over the facet union."""
     rows = facets_by_union(detail, start, end, version, False, empty_account_is_missing)
@@ -235,7 +235,7 @@ def _plain_measures() -> list[Column]:
 
 def rollup_paths(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Level 6: by path, path frequency and user tags. Visits are those of the user's whole day."""
     rows = facets(detail, start, end, version, True, empty_account_is_missing)
@@ -246,7 +246,7 @@ def rollup_paths(
 
 def rollup_paths_plain(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     rows = facets_by_union(detail, start, end, version, True, empty_account_is_missing)
     paths = rows.groupBy("dt", *PATH_DIMENSIONS).agg(*_plain_measures())
@@ -255,7 +255,7 @@ def rollup_paths_plain(
 
 def rollup(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """All levels of one version."""
     return rollup_levels(detail, start, end, version, empty_account_is_missing).unionByName(

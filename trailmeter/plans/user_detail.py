@@ -41,6 +41,7 @@ EVENTS = EventColumns(
     order_id="parent_sale_ord_id",
     amount="after_prefr_amount_1",
     visit_id="pv_id",
+    visits_first=True,
 )
 
 
@@ -59,7 +60,7 @@ def unified_events(
     order_facts: DataFrame,
     start: str,
     end: str | None = None,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Visits and orders as one typed event table. Orders carry no device, channel or visit id."""
     seen = (
@@ -214,13 +215,15 @@ def user_detail(
     start: str,
     end: str | None = None,
     version: str = C.STABLE,
-    empty_account_is_missing: bool = False,
+    empty_account_is_missing: bool = True,
     distinct_visits: bool = False,
     cumulative: bool = False,
 ) -> DataFrame:
     """One row per identity and path of its user; a user without an id keeps one row without path.
 
     ``version`` is ``stable``, ``history`` (written as ``stable`` too) or ``snapshot``.
+    With ``empty_account_is_missing=False`` all users whose account is '' are one user, and each of
+    their identities gets each of their paths: the result grows with the square of their number.
     """
     if version not in (C.STABLE, C.HISTORY, C.SNAPSHOT):
         raise ValueError(f"unknown version: {version!r}")

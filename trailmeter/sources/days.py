@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,15 +29,42 @@ def parse_range(start: str, end: str | None) -> tuple[date, date]:
     return first, last
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parquet with an explicit schema: no inference pass, and ``dt`` stays a string."""
-    return spark.read.schema(schema).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, schema: StructType | str, days: Iterable[str] | None = None
+) -> DataFrame:
+    """Parquet with an explicit schema: no inference pass, and ``dt`` stays a string.
+
+    With ``days`` only the folders of these days are listed, if ``dt`` is the outermost partition
+    column. A table laid out otherwise, or without any of the days, is listed whole.
+    """
+    reader = spark.read.schema(schema).option("basePath", path)
+    if days is not None:
+        folders = ",".join(f"dt={day}" for day in sorted(set(days)))
+        try:
+            return reader.parquet(f"{path.rstrip('/')}/{{{folders}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reader.parquet(path)
+
+
+def days_of(start: str, end: str | None, lag: int = 0) -> list[str]:
+    """The days of a range and of the ``lag`` days before it."""
+    first, last = parse_range(start, end)
+    first -= timedelta(days=lag)
+    return [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
+
+
+def quarters_of(start: str, end: str | None) -> list[str]:
+    """The first days of the quarters that a range touches."""
+    return sorted({_quarter_first(parse_day(day)) for day in days_of(start, end)})
 
 
 def read_days(df: DataFrame, start: str, end: str | None = None, lag: int = 0) -> DataFrame:
     """Rows of ``start``..``end``, or of the days ``lag`` days before those.
 
-    Both limits are literals on the partition column, so other days are never listed or opened.
+    Both limits are literals on the partition column, so other days are never opened; ``read_table``
+    with its ``days`` does not list them either.
     """
     first, last = (d - timedelta(days=lag) for d in parse_range(start, end))
     return df.where(F.col("dt").between(first.isoformat(), last.isoformat()))
@@ -71,36 +100,40 @@ def write_days(
     path: str,
     partitions: tuple[str, ...] = ("dt",),
     clear: tuple[str, str] | None = None,
-    rebalance: bool = True,
+    sort: Sequence[str] = (),
 ) -> None:
     """Overwrite the partitions that ``df`` has rows for; all others stay.
 
     The rebalance step makes files of about 256 MB: it joins small ones and splits a big partition
-    over several tasks, where a repartition by ``dt`` would send a whole day to one. Turn it off for
-    rows that are laid out already.
+    over several tasks, where a repartition by ``dt`` would send a whole day to one. ``sort`` orders
+    the rows of each file.
 
     ``clear=(start, end)`` also empties days of that range without any row, as an overwrite of a
-    single static partition does. That is only possible with ``dt`` as the one partition column.
+    single static partition does. That is only possible with ``dt`` as the one partition column. It
+    is a second step: if the job dies before it, such days keep their old rows until the next run.
     """
     spark = df.sparkSession
     days = None
+    rows = df.hint("rebalance", *partitions)
+    if sort:
+        rows = rows.sortWithinPartitions(*partitions, *sort)
     if clear:
         if tuple(partitions) != ("dt",):
             raise ValueError("clear needs dt as the only partition column")
         days = Observation()
         known = F.to_json(F.sort_array(F.collect_set("dt")))
-        df = df.observe(days, known.alias("written"))
+        # Above the sort: an empty input would take the metrics with it.
+        rows = rows.observe(days, known.alias("written"))
     sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(FILE_BYTES)}
     with settings(spark, sizes):
         (
-            (df.hint("rebalance", *partitions) if rebalance else df)
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)
             .parquet(path)
         )
     if days is not None:
-        stored = read_days(spark.read.schema("dt string").parquet(path), *clear)
+        stored = read_days(read_table(spark, path, "dt string", days_of(*clear)), *clear)
         written = days.get["written"]
         empty = spark.createDataFrame([], StructType([f for f in df.schema if f.name != "dt"]))
         # One small write per stored day that this run had no rows for.
