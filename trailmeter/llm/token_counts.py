@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmeter.llm.common import stored
 from trailmeter.llm.packing import encoder
 
 GROUP = ["source", "lang", "version"]
@@ -68,7 +69,8 @@ class Rollup:
         one = changes.groupBy("doc_id").agg(
             F.max(F.struct("tokens", "op", *GROUP)).alias("c")
         )
-        one = one.select("doc_id", "c.op", *[f"c.{k}" for k in GROUP], "c.tokens")
+        # Stored, as it is read twice and counting tokens is the most of the work.
+        one = stored(one.select("doc_id", "c.op", *[f"c.{k}" for k in GROUP], "c.tokens"))
         held = self._read("ledger", LEDGER, earlier).groupBy("doc_id", *GROUP)
         held = held.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")).where("docs <> 0")
         key = one.select(F.col("doc_id").alias("_id"))
