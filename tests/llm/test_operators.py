@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -192,6 +193,43 @@ def test_repeated_units_of_odd_rows(odd, none):
     assert deduplicated(odd.drop("removed")).count() == 13 and repeated(none).count() == 0
 
 
+def test_repeated_runs_of_words(documents, texts):
+    """Each run of 50 words that is seen earlier goes, wherever it lies, and each sentence that went before."""
+    token = re.compile(r"\S+")
+    first, want = {}, defaultdict(set)
+    for i in sorted(texts):
+        found = list(token.finditer(texts[i]))
+        for at in range(len(found) - 49):
+            run = found[at : at + 50]
+            place = first.setdefault(" ".join(m.group().lower() for m in run), (i, at))
+            if place[0] != i or at - place[1] >= 50:
+                want[i].update(range(run[0].start(), run[-1].end()))
+    for r in repeated(documents).collect():
+        want[r["doc_id"]].update(range(r["start"], r["end"]))
+    rows, got = queries.op4_substring_dedup(documents.sparkSession, SF).collect(), defaultdict(set)
+    for r in rows:
+        assert not got[r["doc_id"]] & set(range(r["start"], r["end"])) and r["first_doc_id"] <= r["doc_id"]
+        got[r["doc_id"]].update(range(r["start"], r["end"]))
+    assert want and all(places <= got[i] for i, places in want.items())
+
+
+def test_repeated_lists_and_texts_without_spaces(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3_000)]
+    poem = "\n".join(" ".join(words[3 * i : 3 * i + 3]) for i in range(4))
+    long, han = "".join(words[100:300]), "".join(chr(0x4E00 + rng.randrange(9_000)) for _ in range(80))
+    once = " ".join(words[400:460])
+    rows = [(1, f"own\n{poem}\nstart"), (2, f"other\n{poem}\nend"), (3, f"xq{long}zz"), (4, f"other{long[3:]}"),
+            (5, f"\u4e00{han}"), (6, han), (None, f"a {once}"), (None, f"b c {once}"), (7, once + " " + once), (8, "x " * 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeated(docs).count() == 0
+    out = sorted(deduplicated(docs, run_words=50).collect(), key=lambda r: r["doc_id"] or 99)
+    left = [r["text"] for r in out]
+    assert left[:2] == [rows[0][1], "other\n\nend"] and left[2] == rows[2][1] and len(left[3]) < 60
+    assert left[4:6] == [rows[4][1], ""] and left[6].split() == words[400:460] and left[7].split() == ["x"] * 50
+    assert sorted(t.strip() for t in left[8:]) == ["a", "b c"]
+
+
 def base_spans(text):
     text, out = text or "", []
     kinds = [

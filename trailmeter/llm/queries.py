@@ -19,7 +19,7 @@ from trailmeter.llm.packing import packed, vocabulary
 from trailmeter.llm.quality import quality
 from trailmeter.llm.secret_scan import secrets
 from trailmeter.llm.shards import sharded
-from trailmeter.llm.substring_dedup import repeated
+from trailmeter.llm.substring_dedup import RUN_WORDS, repeated
 from trailmeter.llm.token_counts import Rollup, bpe_counts, word_counts
 from trailmeter.llm.toxicity import toxicity
 
@@ -37,8 +37,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The units that are removed, and the document in which each stays."""
-    return repeated(table(spark, sf_dir, "documents"))
+    """The spans that are removed, and the document in which the first unit of each stays."""
+    return repeated(table(spark, sf_dir, "documents"), run_words=RUN_WORDS)
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,20 @@
-"""Substring dedup by hashing of lines, cut at sentence ends.
+"""Substring dedup by hashing: sentences of each line, runs of them, and runs of words anywhere.
 
-Units are the sentences of each line, since repeated passages begin and end inside lines. A unit is
-normalised (lower case, single spaces), its 128-bit digest is grouped over all documents, the occurrence
-of the smallest (doc_id, start) stays and the others are removed; offsets are those of the original text.
+Sentences of each line of at least least_words words are units. With run_words, as the query asks, so are
+- the shortest runs of whole sentences of least_words words or more that begin or end with a shorter one, so
+  every repeated run of whole sentences (a list, a verse, a paragraph) is found, whatever its lines hold;
+- all runs of run_words words, wherever they begin and end. The least hash among a run's shingles is its
+  anchor; only runs whose anchor lies in two places are hashed themselves.
+A unit is normalised (lower case, single spaces), its 128-bit digest is grouped over all documents, the
+occurrence of the smallest (doc_id, place) stays and the others are removed, save those that overlap it;
+offsets are those of the original text. With run_words, removed units that touch are one span.
+
+A word of a run is what white space parts; in scripts without spaces a letter, and in LONG letters or more
+without a space a piece that ends where a hash of the last four letters says so.
 
 Nulls, ties and odd rows: a null or empty text has no units; a null id ranks after all others; rows
-repeated with one id are one document, so their equal units stay or go together; units of fewer than
-least_words words are too common to mean anything and stay; extra columns are ignored.
+repeated with one id are one document, so their equal units stay or go together (with run_words, texts
+without id are told apart by a digest); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,14 +23,29 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmeter.llm.common import stored
+from trailmeter.llm.shingles import mix
 
 LEAST_WORDS = 8
+#: Words of a run that is found wherever it lies, and letters without a space that are cut by their hash.
+RUN_WORDS, LONG = 50, 64
+#: Letters that are hashed at once; a longer document is one piece of its own.
+PIECE = 1 << 20
 _UNIT = re.compile(r"[^\n.!?]+[.!?]*")
+_TOP = 0x20000
+_LOWER = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(_TOP)], np.uint32)
+_SPACE = np.array([chr(i).isspace() for i in range(_TOP)])
+#: Thai, Lao, Burmese, Khmer, kana and Han letters; letters from _TOP on are Han, too.
+_UNSPACED = np.zeros(_TOP, bool)
+for _a, _b in ((0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00)):
+    _UNSPACED[_a:_b] = True
+_BASES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_KIND = "kind int, at int, size int, start int, end int, word int, last int, d1 long, d2 long"
 
 
 def units(docs: DataFrame, least_words: int) -> DataFrame:
@@ -53,8 +76,196 @@ def units(docs: DataFrame, least_words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
 
-def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, start, end, n_words, first_doc_id) of each unit to remove, and where it stays."""
+def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
+    """Hash of values[first:last], each multiplied by a power of base for its place."""
+    up = np.full(len(values) + 1, base, np.uint64)
+    down = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=total[1:])
+    return mix((total[last] - total[first]) * down[first])
+
+
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(row, start, end, two hashes) of the words of texts; places are code points of the joined texts,
+    each of which is followed by one line end."""
+    letters = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    low = np.minimum(letters, _TOP - 1)
+    space, single = _SPACE[low], _UNSPACED[low] | (letters >= _TOP)
+    letters = np.where(letters < _TOP, _LOWER[low], letters)
+    edge = np.ones(len(letters) + 1, bool)
+    edge[1:-1] = space[1:] | space[:-1] | single[1:] | single[:-1]
+    code = mix(letters.astype(np.uint64) + np.uint64(1))
+    size = np.diff(np.flatnonzero(edge))
+    if (size >= LONG).any():
+        four = code.copy()
+        for k in range(1, 4):
+            four[k:] += code[:-k] * np.uint64(2 * k + 1)
+        edge[1:] |= np.repeat(size >= LONG, size) & (mix(four) & np.uint64(7) == 0)
+    edges = np.flatnonzero(edge)
+    start, end = edges[:-1], edges[1:]
+    real = ~space[start]
+    start, end = start[real], end[real]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    hashes = [_sums(mix(code + np.uint64(b)), start, end, b) for b in _BASES]
+    return np.searchsorted(ends, start, "right"), start, end, hashes
+
+
+def _extreme(x: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
+    """The least or largest of each n values in a row."""
+    out, width = x, 1
+    while width < n:
+        step = min(width, n - width)
+        out, width = pick(out[:-step], out[step:]), width + step
+    return out
+
+
+def _anchors(row: np.ndarray, value: np.ndarray, run_words: int) -> tuple[np.ndarray, ...]:
+    """(first words of the runs inside one text, their anchors, places of all anchors, these anchors)."""
+    width = run_words // 2 + 1
+    count = run_words - width + 1
+    if len(row) < run_words:
+        none = np.zeros(0, np.int64)
+        return none, none.astype(np.uint64), none, none.astype(np.uint64)
+    at = np.arange(len(row) - width + 1)
+    shingle = _sums(value, at, at + width, _BASES[0])
+    least = _extreme(shingle, count, np.minimum)
+    whole = row[: len(least)] == row[run_words - 1 :]
+    # A shingle is an anchor where it is the least of some run that holds it.
+    pad = np.zeros(count - 1, np.uint64)
+    near = _extreme(np.concatenate([pad, np.where(whole, least, np.uint64(0)), pad]), count, np.maximum)
+    chosen = near == shingle
+    return np.flatnonzero(whole), least[whole], np.flatnonzero(chosen), shingle[chosen]
+
+
+def _sentences(text: str, least_words: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(place in words, words, start, end, digest) of sentences, and of runs of them at a shorter one."""
+    held, at = [], 0
+    for unit in _UNIT.finditer(text):
+        if found := unit.group().lower().split():
+            held.append((at, unit.start(), unit.end(), found))
+            at += len(found)
+    spans = set()
+    for k in range(len(held)):
+        for step in (1, -1):
+            end, size = k, len(held[k][3])
+            while size < least_words and 0 <= end + step < len(held):
+                end += step
+                size += len(held[end][3])
+            if size >= least_words:
+                spans.add((min(k, end), max(k, end)))
+    out = []
+    for a, b in spans:
+        found = [w for x in held[a : b + 1] for w in x[3]]
+        digest = blake2b(" ".join(found).encode(errors="replace"), digest_size=16).digest()
+        out.append((held[a][0], len(found), held[a][1], held[b][2], digest))
+    return out
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of about PIECE letters each."""
+    first, texts, size = 0, [], 0
+    for i, value in enumerate(column):
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= PIECE:
+            yield first, texts
+            first, texts, size = i + 1, [], 0
+    if texts:
+        yield first, texts
+
+
+def _rows(batch: pa.RecordBatch, rows: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """doc_id and key of rows, beside the columns of _KIND."""
+    arrays = [batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)]
+    names = [c.split() for c in _KIND.split(", ")]
+    arrays += [pa.array(c.astype(np.int32 if k == "int" else np.int64)) for c, (_, k) in zip(columns, names, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", *[n for n, _ in names]])
+
+
+def _found(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
+    """Units of sentences (kind 0) and anchors of runs of words (kind 1) of docs (doc_id, key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _pieces(batch.column(2)):
+                row, start, end, hashes = words(texts)
+                base = np.cumsum([0, *[len(t) + 1 for t in texts]])
+                units = [(i, *u) for i, t in enumerate(texts) for u in _sentences(t, least_words)]
+                own, at, size, a, b = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
+                halves = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2).T
+                before = np.searchsorted(row, own)
+                word = np.searchsorted(end, base[own] + a, "right") - before
+                last = np.searchsorted(start, base[own] + b, "left") - before
+                yield _rows(batch, own + first, [own * 0, at, size, a, b, word, last, *halves])
+                _, _, at, value = _anchors(row, hashes[0], run_words)
+                zero = at * 0
+                yield _rows(batch, row[at] + first, [zero + 1, *[zero] * 6, value.view(np.int64), zero])
+
+    return docs.mapInArrow(run, f"doc_id long, key long, {_KIND}")
+
+
+def _runs(docs: DataFrame, run_words: int) -> DataFrame:
+    """Runs of words (kind 2) of docs (doc_id, key, text, anchors) whose anchor is among anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _pieces(batch.column(2)):
+                row, start, end, hashes = words(texts)
+                base = np.cumsum([0, *[len(t) + 1 for t in texts]])
+                at, least, _, _ = _anchors(row, hashes[0], run_words)
+                known = batch.column(3).slice(first, len(texts)).flatten().to_numpy(zero_copy_only=False)
+                at = at[np.isin(least.view(np.int64), known)]
+                own = row[at]
+                word, size = at - np.searchsorted(row, own), at * 0 + run_words
+                a, b = start[at] - base[own], end[at + run_words - 1] - base[own]
+                both = [_sums(h, at, at + run_words, x).view(np.int64) for h, x in zip(hashes, _BASES, strict=True)]
+                yield _rows(batch, own + first, [size * 0 + 2, word, size, a, b, word, word + size, *both])
+
+    return docs.mapInArrow(run, f"doc_id long, key long, {_KIND}")
+
+
+def _spans(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
+    """(doc_id, key, start, end, n_words, first_doc_id) of what is removed; key: a digest of the text."""
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    found = stored(_found(texts, least_words, run_words))
+    anchors = found.where("kind = 1").select("doc_id", "key", "d1")
+    # Grouped before the shuffle, so a passage in every text is one row a task.
+    more = anchors.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
+    held = anchors.join(more, "d1").groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    held = held.agg(F.collect_set("d1").alias("anchors"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    runs = stored(_runs(texts.join(held, same).select("doc_id", "key", "text", "anchors"), run_words))
+    units = found.where("kind = 0").unionByName(runs)
+    # The id, then 29 bits of a text without one, then the place in words.
+    whole, last = F.lit(2**62).cast("decimal(19,0)"), F.lit(2**63 - 1)
+    digest = F.when(F.col("doc_id").isNull(), F.col("key").bitwiseAND(F.lit(2**29 - 1))).otherwise(F.lit(0))
+    inside = (digest * F.lit(2**32) + F.col("at")).cast("decimal(19,0)")
+    rank = (F.coalesce("doc_id", last).cast("decimal(19,0)") * whole + inside).cast("decimal(38,0)")
+    units = units.withColumn("rank", rank)
+    first = units.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("top"))
+    first = first.where("first < top").select("d1", "d2", "first")
+    gone = units.join(first, ["d1", "d2"]).where(F.col("rank") - F.col("first") >= F.col("size"))
+    origin = F.nullif(F.floor(F.col("first") / whole).cast("decimal(20,0)").cast("long"), last)
+    gone = gone.select("doc_id", "key", "start", "end", "word", "last", origin.alias("origin"))
+    text = Window.partitionBy("doc_id", "key").orderBy("start", "end")
+    reach = F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    gone = gone.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
+    gone = gone.withColumn("span", F.sum("new").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    return gone.groupBy("doc_id", "key", "span").agg(
+        F.min("start").cast("long").alias("start"),
+        F.max("end").cast("long").alias("end"),
+        (F.max("last") - F.min("word")).cast("long").alias("n_words"),
+        F.min_by("origin", "start").alias("first_doc_id"),
+    )
+
+
+def repeated(docs: DataFrame, least_words: int = LEAST_WORDS, run_words: int | None = None) -> DataFrame:
+    """(doc_id, start, end, n_words, first_doc_id) of each unit to remove, and where it stays; with
+    run_words of each span to remove, and where its first unit stays."""
+    if run_words is not None:
+        return _spans(docs, least_words, run_words).select("doc_id", "start", "end", "n_words", "first_doc_id")
     found = stored(units(docs, least_words))
     place = F.coalesce("doc_id", F.lit(2**63 - 1)).cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)")
     found = found.withColumn("rank", (place + F.col("start")).cast("decimal(38,0)"))
@@ -66,11 +277,17 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return gone.select("doc_id", "start", "end", "n_words", origin.alias("first_doc_id"))
 
 
-def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS, run_words: int | None = None) -> DataFrame:
     """docs with the repeated units cut out of the text, and removed: their spans in the original text."""
-    spans = repeated(docs, least_words).groupBy(F.col("doc_id").alias("__llm_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))
+    if run_words is None:
+        spans = repeated(docs, least_words).groupBy(F.col("doc_id").alias("__llm_id"))
+    else:
+        spans = _spans(docs, least_words, run_words)
+        spans = spans.groupBy(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key"))
+        same &= F.xxhash64("text") == F.col("__llm_key")
     spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__llm_id")), "left")
+    joined = docs.join(spans, same, "left")
 
     def step(a: Column, s: Column) -> Column:
         before = F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
@@ -83,4 +300,4 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         step,
         lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(text)).drop("__llm_id")
+    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(text)).drop("__llm_id", "__llm_key")
