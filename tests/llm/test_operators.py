@@ -22,7 +22,7 @@ from trailmeter.llm.secret_scan import redacted, secrets
 from trailmeter.llm.shards import sharded
 from trailmeter.llm.substring_dedup import deduplicated, repeated
 from trailmeter.llm.token_counts import Rollup, word_counts
-from trailmeter.llm.toxicity import kernel, toxicity
+from trailmeter.llm.toxicity import kernel, learned, toxicity
 from tests.llm.conftest import SF
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,6 +121,16 @@ def test_toxicity(spark):
     assert sum((a > b) + 0.5 * (a == b) for a, b in pairs) / len(pairs) > 0.95
 
 
+def test_toxicity_from_few_labels(spark):
+    """Ten toxic texts are enough to learn words that lie in four of them and in no clean one."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = {r["doc_id"]: r for r in toxicity(docs, labels).collect()}
+    truth = [(rows[r["doc_id"]]["predicted"], r["toxic"]) for r in labels.where("toxic in (0, 1)").collect()]
+    found, missed = sum(p for p, t in truth if t), sum(not p for p, t in truth if t)
+    assert found > missed and sum(p for p, t in truth if not t) <= 3
+    assert learned([("common", 1, 1)], 1, 1) is not None and learned([("word", 3, 0)], 3, 0) is None
+
+
 def test_toxicity_without_labels_and_of_odd_rows(odd, none, spark):
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity(odd, labels).collect()} == {0.0}

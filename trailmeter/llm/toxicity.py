@@ -33,8 +33,8 @@ from trailmeter.llm.shingles import mix
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 #: Landmarks of each kind, discount of a gap, bins of the triple table, letters of one piece of a word.
 LANDMARKS, DISCOUNT, BINS, PIECE = 400, 0.7, 1 << 20, 30
-#: Evidence (log likelihood ratio) from which a word counts as an example of toxic ones.
-EVIDENCE = 12.0
+#: Evidence (log likelihood ratio) that costs are measured by; examples of each kind at most.
+EVIDENCE, EXAMPLES = 12.0, 12_000
 #: Value from which a word counts as one of the worst.
 MARGIN = 0.7
 #: Words that a task remembers the values of.
@@ -123,7 +123,15 @@ class Model:
 
 
 def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model | None:
-    """A model of words from (word, toxic texts, clean texts) and the number of texts of each kind."""
+    """A model of words from (word, toxic texts, clean texts) and the number of texts of each kind; None only
+    without texts of both kinds.
+
+    Words that are commoner in toxic texts are examples of them, each at a cost that grows with its evidence.
+    As chance gives a word evidence e with probability exp(-e) at most, the cost falls with the share of words
+    of that evidence or more that are so by chance, and with the share of clean texts.
+    """
+    if not toxic or not clean:
+        return None
     share = toxic / (toxic + clean)
 
     def evidence(a: int, b: int) -> float:
@@ -132,12 +140,15 @@ def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
         return gain if p > share else -gain
 
     judged = [(evidence(a, b), w, a, b) for w, a, b in counts]
-    bad = sorted((x for x in judged if x[0] >= EVIDENCE and x[2] * clean >= 30 * x[3] * toxic), reverse=True)
     good = [x for x in judged if x[3] > 0 and x[0] < 2]
+    bad = sorted((x for x in judged if x[0] > 0 and not (x[3] > 0 and x[0] < 2)), reverse=True)[:EXAMPLES]
     if not bad or not good:
-        return None
+        return Model(np.zeros(BINS, np.float32), 0.0)
+    sure = [max(1 - len(judged) * math.exp(-e) / (k + 1), 0) for k, (e, *_) in enumerate(bad)]
+    pure = [(a / toxic - b / clean) / (a / toxic + b / clean) for _, _, a, b in bad]
+    trust = np.maximum(np.array(sure) * np.array(pure), 1e-3)
     order = mix(np.arange(len(good), dtype=np.uint64)).argsort()
-    good = [good[i] for i in order[:12_000]]
+    good = [good[i] for i in order[:EXAMPLES]]
     bad_words, good_words = [x[1][:PIECE] for x in bad], [x[1][:PIECE] for x in good]
     marks = bad_words[:LANDMARKS] + good_words[:LANDMARKS]
     own = kernel(marks, marks)
@@ -147,9 +158,9 @@ def learned(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
     x = kernel(bad_words + good_words, marks) @ whiten
     y = np.r_[np.ones(len(bad_words)), -np.ones(len(good_words))]
     # The stronger the evidence for a word, the dearer it is to miss it.
-    even = len(good_words) / len(bad_words) / 4
-    cost = np.r_[[even * e[0] / EVIDENCE / 4 for e in bad], np.ones(len(good_words))]
-    w = machine(x, y, np.clip(cost, 0.1, 1_000))
+    even = len(good_words) / trust.sum() / 4
+    cost = trust * [even * e[0] / EVIDENCE / 4 for e in bad]
+    w = machine(x, y, np.r_[np.clip(cost, trust / 10, 1_000), np.ones(len(good_words))])
     weight = whiten @ w[:-1]
     table = np.zeros(BINS, np.float32)
     bins, weights = triples(marks)
@@ -228,8 +239,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
         trimmed = F.transform(tokens, lambda w: F.regexp_replace(w, "^\\p{Punct}+|\\p{Punct}+$", ""))
         each = sample.select("toxic", F.explode(F.array_distinct(trimmed)).alias("w")).where("w <> ''")
         table = each.groupBy("w").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
-        table = [(r["w"], r["a"], r["b"]) for r in table.where("a + b >= 3").toLocalIterator()]
         sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+        least = min(3, *sizes.values()) if len(sizes) == 2 else 3
+        table = [(r["w"], r["a"], r["b"]) for r in table.where(F.expr("a + b") >= least).toLocalIterator()]
         if len(sizes) == 2:
             model = learned(table, sizes[1], sizes[0])
         if model is not None:
