@@ -424,6 +424,23 @@ def test_token_rollup(spark):
         rollup.commit(1, change())
 
 
+def test_token_rollup_is_opened_again(spark):
+    """Batches are known from storage; one that was cut off before its mark is not, and is committed anew."""
+    schema = "op string, doc_id long, source string, lang string, version string, tokens long"
+    folder = f"{scratch_dir(spark)}/rollup-again"
+    Rollup(spark, folder).commit(1, spark.createDataFrame([("insert", 1, "a", "en", "v", 10), ("insert", 2, "a", "en", "v", 5)], schema))
+    second = spark.createDataFrame([("delete", 1, None, None, None, 0), ("revise", 2, "a", "en", "v", 4)], schema)
+    Rollup(spark, folder).commit(2, second)
+    assert [tuple(r) for r in Rollup(spark, folder).totals().collect()] == [("a", "en", "v", 4, 1)]
+    Rollup(spark, folder)._mark(2, False)
+    opened = Rollup(spark, folder)
+    assert opened.batches == {1} and [tuple(r) for r in opened.totals().collect()] == [("a", "en", "v", 15, 2)]
+    opened.commit(2, second)
+    with pytest.raises(ValueError, match="older"):
+        Rollup(spark, folder).commit(1, second)
+    assert [tuple(r) for r in Rollup(spark, folder).totals().collect()] == [("a", "en", "v", 4, 1)]
+
+
 def test_word_counts_of_odd_rows(odd, none):
     got = {(r["doc_id"], r["tokens"]) for r in word_counts(odd).collect()}
     assert {(1, 60), (4, 0), (5, 0), (6, 0), (8, 2), (None, 2), (None, 0)} <= got and word_counts(none).count() == 0

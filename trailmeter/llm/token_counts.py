@@ -5,6 +5,9 @@ a changed document counts negative, its new count positive. Each batch owns one
 one of the rollup; committing it again overwrites just these, so totals are the same after any number of
 retries. Totals add up a few rows for each batch, never the documents.
 
+Ledger and rollup of a batch are written before its mark, an empty file in the folder of marks. Marks are listed
+when a rollup is opened, so what is committed is known from storage; a batch without a mark is committed anew.
+
 Nulls, ties and odd rows: null sources and languages are groups of their own; an insert of a document that is
 there counts as a revision, a delete of an unknown one as nothing; of several changes of one document in a
 batch the one with the most tokens wins; a null id is one document; empty batches are committed as such.
@@ -54,6 +57,24 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder, self.batches = spark, folder, set()
+        marks = self._path("marks")
+        files = marks.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(marks):
+            self.batches = {int(f.getPath().getName()) for f in files.listStatus(marks) if f.getPath().getName().isdigit()}
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+
+    def _mark(self, batch: int, done: bool) -> None:
+        """Set or take away a batch's mark; taken away before its folders are written again."""
+        path = self._path(f"marks/{batch}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if done:
+            files.create(path, True).close()
+            self.batches.add(batch)
+        else:
+            files.delete(path, False)
+            self.batches.discard(batch)
 
     def _read(self, name: str, schema: str, batches: list[int]) -> DataFrame:
         if not batches:
@@ -77,11 +98,12 @@ class Rollup:
         gone = held.join(key, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
         gone = gone.select("doc_id", *GROUP, (-F.col("tokens")).alias("tokens"), (-F.col("docs")).alias("docs"))
         new = one.where("op <> 'delete'").select("doc_id", *GROUP, "tokens", F.lit(1).cast("long").alias("docs"))
+        self._mark(batch, False)
         gone.unionByName(new).write.mode("overwrite").parquet(f"{self.folder}/ledger/{batch}")
         delta = self._read("ledger", LEDGER, [batch]).groupBy(*GROUP)
         delta = delta.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs"))
         delta.write.mode("overwrite").parquet(f"{self.folder}/rollup/{batch}")
-        self.batches.add(batch)
+        self._mark(batch, True)
 
     def totals(self) -> DataFrame:
         """(source, lang, version, tokens, docs) of all batches."""
