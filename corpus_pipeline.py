@@ -17,25 +17,36 @@ from trailmeter.llm.secret_scan import redacted
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs less those whose id is among ids; both grow with the data, so neither is broadcast by hint."""
-    gone = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with _row, a key of its own for each row, in the order of ids (nulls last), texts and places. It is
+    stored, so a lost task gives no other keys; ranges are cut by place too, so equal rows fill no single task."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("_place")]
+    rows = docs.select(*COLUMNS).withColumn("_place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(rows.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
+
+
+def _without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """docs less the rows that rejected names; it sees row keys as doc_id, so a row without id, or with that of
+    another row, is judged by itself. Both sides grow with the data, so neither is broadcast by hint."""
+    rows = _keyed(docs)
+    gone = rejected(rows.withColumn("doc_id", F.col("_row")).drop("_row")).select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the outlier verdict rejects go."""
-    return _without(docs, quality(docs).where("not kept"))
+    return _without(docs, lambda rows: quality(rows).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one of the smallest id."""
-    return _without(docs, near_duplicates(docs).where("not kept"))
+    """One row of each group of near duplicates stays, the one of the smallest id (rows without id are last)."""
+    return _without(docs, lambda rows: near_duplicates(rows).where("not kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item within its error budget go."""
-    return _without(docs, stored(contaminated(docs, table(spark, sf_dir, "benchmark"))))
+    return _without(docs, lambda rows: stored(contaminated(rows, table(spark, sf_dir, "benchmark"))))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,5 +39,18 @@ def test_odd_rows(spark, odd, none):
         assert docs.count() == 0 or start is odd
 
 
+def test_rows_without_or_of_one_id_are_judged_by_themselves(spark, documents):
+    item = table(spark, SF, "benchmark").first()["text"]
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("east", "west"))
+    rows = [(None, one), (None, one), (None, f"so {item} it is"), (None, None), (3, two), (3, two), (3, f"so {item} it is"), (None, two)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 9) for i, t in rows], documents.schema)
+    found = [(r["doc_id"], r["text"]) for r in pipeline.near_dedup(spark, docs, SF).where("text like '%59'").collect()]
+    assert sorted(found, key=str) == [(3, two), (None, one)]
+    found = [(r["doc_id"], r["text"]) for r in pipeline.decontamination(spark, docs, SF).collect()]
+    assert sorted(found, key=str) == sorted([rows[i] for i in (0, 1, 3, 4, 5, 7)], key=str)
+    texts = [r["text"] for r in pipeline.quality_rules(spark, docs, SF).collect()]
+    assert None not in texts and texts.count(one) == 2 and texts.count(two) == 3
+
+
 def test_run(spark):
     assert pipeline.run(spark, SF).count() > 0
