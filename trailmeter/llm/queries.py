@@ -1,7 +1,8 @@
 """The registered queries of this package, with production parameters, over whole tables.
 
-None has SQL: register likelihoods, kernels, concentration steps, linear programs, trees and state are
-beyond it. tests/llm compares each with a brute-force version.
+SQL can state what the joins and the trie return (llm/oracle.py), though not how; register likelihoods,
+kernels, concentration steps, linear programs, state and tokenizers are beyond it, and tests/llm checks
+those on small fixtures.
 """
 
 from __future__ import annotations
@@ -11,11 +12,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trailmeter.llm.alignment import token_alignment
 from trailmeter.llm.common import scratch_dir, table
 from trailmeter.llm.decontaminate import contaminated
 from trailmeter.llm.language_id import identified, page_evidence
 from trailmeter.llm.near_dedup import near_duplicates
+from trailmeter.llm.oracle import ORACLE
 from trailmeter.llm.packing import packed, vocabulary
+from trailmeter.llm.prefix_trie import prefix_trie
 from trailmeter.llm.quality import quality
 from trailmeter.llm.secret_scan import secrets
 from trailmeter.llm.shards import sharded
@@ -88,6 +92,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(pages.unionByName(texts), docs).withColumn("kept", F.col("confidence") >= 0.5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +115,7 @@ QUERIES = {
         op8_decontamination,
         op9_token_counts,
         op10_language_id,
+        op11_prefix_trie,
+        op13_alignment,
     )
 }
-ORACLE: dict[str, str] = {}
