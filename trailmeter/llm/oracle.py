@@ -10,7 +10,7 @@ TRIE = f"""
 WITH {_CRC},
 own AS (
     SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
-        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS at
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS k
     FROM conversations WHERE conv_id IS NOT NULL
 ),
 convs AS (
@@ -20,13 +20,13 @@ convs AS (
     FROM (SELECT DISTINCT c FROM own), crc
 ),
 parts AS (
-    SELECT v.c, 0 AS side, o.at, o.r, o.x FROM convs v JOIN own o ON o.c = v.base AND o.at < v.h
+    SELECT v.c, 0 AS side, o.k, o.r, o.x FROM convs v JOIN own o ON o.c = v.base AND o.k < v.h
     UNION ALL
-    SELECT v.c, 1, o.at, o.r, o.x FROM convs v JOIN own o ON o.c = v.c AND o.at >= v.h
+    SELECT v.c, 1, o.k, o.r, o.x FROM convs v JOIN own o ON o.c = v.c AND o.k >= v.h
 ),
 lists AS (
     SELECT v.c, coalesce(l.turns, []) AS turns FROM convs v LEFT JOIN (
-        SELECT c, list({{'r': r, 'x': x}} ORDER BY side, at) AS turns FROM parts GROUP BY c) l ON l.c = v.c
+        SELECT c, list({{'r': r, 'x': x}} ORDER BY side, k) AS turns FROM parts GROUP BY c) l ON l.c = v.c
 ),
 prefixes AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM lists),
 nodes AS (
