@@ -2,8 +2,8 @@
 
 #: A list of 256 remainders, by the rule of CRC-32 (reflected polynomial 3988292384).
 _CRC = """crc AS (
-    SELECT list_transform(range(256), n -> list_reduce(list_prepend(n, range(8)),
-        (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+        lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps
 )"""
 
 TRIE = f"""
@@ -15,8 +15,8 @@ own AS (
 ),
 convs AS (
     SELECT c, c - c % 100 AS base, xor(list_reduce(
-        list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), s -> ascii(s)::BIGINT)),
-        (a, b) -> xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+        list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+        lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
     FROM (SELECT DISTINCT c FROM own), crc
 ),
 parts AS (
