@@ -50,4 +50,38 @@ FROM shaped s JOIN below b ON b.d = s.d AND b.key = s.key
 LEFT JOIN nodes p ON p.d = s.d - 1 AND p.key = s.key[1:s.d - 1]
 """
 
-ORACLE: dict[str, str] = {"op11_prefix_trie": TRIE}
+
+
+def jaccard(width: int) -> str:
+    """doc_id, n_shingles and component_id of documents linked at 0.8 by shingles of width words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}),
+            lambda i: array_to_string(w[i:i + {width - 1}], ' '))) END AS s
+    FROM worded
+),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON b.x = a.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON r.doc_id = s.doc_id
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({jaccard(4)})",
+    "op11_prefix_trie": TRIE,
+    "op12_signature_join": jaccard(5),
+}

@@ -23,6 +23,7 @@ from trailmeter.llm.prefix_trie import prefix_trie
 from trailmeter.llm.quality import quality
 from trailmeter.llm.secret_scan import secrets
 from trailmeter.llm.shards import sharded
+from trailmeter.llm.signature_tree import signature_join
 from trailmeter.llm.substring_dedup import RUN_WORDS, repeated
 from trailmeter.llm.token_counts import Rollup, bpe_counts, word_counts
 from trailmeter.llm.toxicity import toxicity
@@ -96,6 +97,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(table(spark, sf_dir, "documents"))
 
@@ -116,6 +121,7 @@ QUERIES = {
         op9_token_counts,
         op10_language_id,
         op11_prefix_trie,
+        op12_signature_join,
         op13_alignment,
     )
 }
