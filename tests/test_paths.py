@@ -205,3 +205,64 @@ def test_a_hot_minute_and_missing_times_are_spread(spark):
     slot = paths.second_of(F.col("t"))
     fullest = rows.where("t is not null").groupBy(slot).count().agg(F.max("count")).first()[0]
     assert fullest <= 500
+
+
+def hot(spark, size, order_every):
+    """One user's events: half of them at one exact time, the others spread over its second."""
+    time = F.timestamp_micros(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")) + F.lit(1_700_000_000_000_000))
+    is_order = F.col("id") % order_every == order_every - 1
+    return spark.range(size).select(
+        F.lit("d").alias("day"), F.lit("u").alias("u"), time.cast("timestamp_ntz").alias("t"),
+        F.col("id").cast("int").alias("id"), is_order.alias("o"), F.lit("c").alias("c"),
+        F.col("id").cast("string").alias("oid"), F.lit(1).alias("m"), F.lit("v").alias("v"),
+    )
+
+
+VISITS_FIRST = paths.EventColumns(**{**vars(COLS), "tie": ["o", "id"], "visits_first": True})
+
+
+def test_a_hot_second_is_spread(spark):
+    """200,000 events of one user in one second: no task numbers more than a few of them."""
+    rows = hot(spark, 200_000, 1001)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        numbered = paths.number_segments(rows, VISITS_FIRST)
+        held = numbered.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert held[1] == 200_000 and held[0] < 20_000
+        last = numbered.agg(F.max("seg"), F.min("_orders"), F.max("_orders")).first()
+        assert tuple(last) == (199, 199, 199)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_visits_of_one_time_are_one_row_before_they_are_numbered(spark):
+    steps, _ = paths._steps(hot(spark, 10_000, 1001), VISITS_FIRST, distinct=False)
+    at = F.unix_micros(F.col("_time").cast("timestamp")) % 1_000_000
+    one = steps.where((at == 0) & ~F.col("_is_order")).select("_visits").collect()
+    assert [r[0] for r in one] == [4995]
+    found = paths.conversion_paths(hot(spark, 10_000, 1001), VISITS_FIRST)
+    assert found.agg(F.sum("all_times"), F.count("seg")).first() == (10_000 - 9, 10)
+
+
+def test_alike_orders_are_as_many_segments(spark):
+    events = [event(1), event(2, True), event(2, True), event(3)]
+    assert short(computed(spark, events)) == [
+        (0, "o2", 1.0, "a|1", 1, 1),
+        (1, "o2", 1.0, "", 0, 1),
+        (2, "", 0.0, "a|1", 1, 1),
+    ]
+
+
+def test_cumulative_paths_read_the_events_twice_at_most(spark, tmp_path):
+    rows = spark.createDataFrame(random_events(3, 50, ["u"], 5), SCHEMA)
+    rows.write.parquet(str(tmp_path / "events"))
+    found = paths.conversion_paths(spark.read.parquet(str(tmp_path / "events")), COLS, cumulative=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2
+
+
+def test_a_channel_is_carried_through_chunks_without_it(spark, monkeypatch):
+    monkeypatch.setattr(paths, "SEGMENT_CHUNK", 2)
+    events = [event(0, channel="z"), *[event(n, True) for n in range(1, 12)], event(20, channel="a")]
+    assert set(computed(spark, events, cumulative=True)) == naive(events, cumulative=True)
+    assert short(computed(spark, events, cumulative=True))[-1][3] == "z|1>a|1"
