@@ -247,6 +247,9 @@ EVENTS = """ev as (
   from visits where app
   union all
   select dt, acct, login, null, null, null, parent, tm, amount, 1, nullif(acct, '') from deals)"""
+# The empty account as an account like any other.
+LITERAL_EVENTS = EVENTS.replace("coalesce(nullif(acct, ''), device) as uid", "coalesce(acct, device) as uid")
+LITERAL_EVENTS = LITERAL_EVENTS.replace("amount, 1, nullif(acct, '') from", "amount, 1, acct from")
 STABLE_DEALS = _deals(ACCOUNT)
 SNAPSHOT_DEALS = _deals(NAMED)
 
@@ -357,27 +360,42 @@ def _detail_cte(version: str) -> str:
   left join cust g on i.device = g.d)"""
 
 
-def _detail_with(version: str = C.STABLE) -> str:
+def _detail_with(version: str = C.STABLE, events: str = EVENTS) -> str:
     deals = SNAPSHOT_DEALS if version == C.SNAPSHOT else STABLE_DEALS
-    return _with(VISITS, deals, EVENTS, SUMMARY, EVENT_PATHS, TAGS, _detail_cte(version))
+    return _with(VISITS, deals, events, SUMMARY, EVENT_PATHS, TAGS, _detail_cte(version))
 
 
 def _detail(version: str = C.STABLE) -> str:
     return f"{_detail_with(version)}select * from detail"
 
 
+MEMBER_COLUMNS = """platform, unif_user_log_acct, user_log_acct, browser_uniq_id, attr,
+  user_life_cycle_type, tc_visit_chan, tc_visit_chan_num, user_visit_freq, tc_visit_times,
+  user_visitcycle, user_buycycle"""
+FACTORED = f"""{_detail_with(events=LITERAL_EVENTS)}, people as (
+  select distinct {MEMBER_COLUMNS}, coalesce(unif_user_log_acct, browser_uniq_id) as user_id,
+    dt, tp, dp, 'member' as side
+  from detail)
+select * from people
+union all by name
+select uid as user_id, ord as parent_sale_ord_id, path as visit_chan_cate2_cds_with_times,
+  cast(bfo as int) as tc_user_visits_before_deal, amt as tc_deal_after_prefr_amount_1,
+  {_freq('all_times')} as path_user_visit_freq, dt, 'day' as tp, 'stable' as dp, 'path' as side
+from pth"""
+
+
 # --- rollup ----------------------------------------------------------------------
 
 MULTI = """case when max(tc_visit_chan_num) >= 4 then '>=4'
       when max(tc_visit_chan_num) >= 1 then cast(max(tc_visit_chan_num) as varchar) else '' end"""
 
 
-def _facets(by_path: bool) -> str:
+def _facets(by_path: bool, account: str = "nullif(unif_user_log_acct, '')") -> str:
     path = ", path_user_visit_freq, visit_chan_cate2_cds_with_times" if by_path else ""
     dims = f"""{MULTI} as is_visit_multi_chan, max(tc_visit_chan) as tc_visit_chan,
     max(user_visit_freq) as user_visit_freq, max(user_life_cycle_type) as user_life_cycle_type,
     max(user_visitcycle) as user_visitcycle, max(user_buycycle) as user_buycycle{path}"""
-    return f"""d as (select *, coalesce(nullif(unif_user_log_acct, ''), browser_uniq_id) as uid from detail),
+    return f"""d as (select *, coalesce({account}, browser_uniq_id) as uid from detail),
 facets as (
   select dt, {dims}, null as device, if(min(attr) = 'order', uid, null) as buyer,
     nullif(parent_sale_ord_id, '') as deal, 0 as visits,
@@ -434,6 +452,12 @@ def _path_level(version: str = C.STABLE) -> str:
     return f"{_detail_with(version)}, {_facets(True)}\n{_paths_select(version)}"
 
 
+LITERAL_ROLLUP = _union(
+    *[
+        f"{_detail_with(events=LITERAL_EVENTS)}, {_facets(by_path, 'unif_user_log_acct')}\n{select(C.STABLE)}"
+        for by_path, select in ((False, _levels_select), (True, _paths_select))
+    ]
+)
 MERGED_ROLLUP = _union(
     *[part(version) for version in (C.STABLE, C.SNAPSHOT) for part in (_levels, _path_level)]
 )
@@ -542,6 +566,8 @@ select event_id, account, segment from e left join r on nullif(account, '') = k"
     "user_detail_history": _detail(),
     "user_detail_snapshot": _detail(C.SNAPSHOT),
     "user_detail_empty_as_missing": _detail(),
+    "user_detail_empty_as_account": FACTORED,
+    "rollup_empty_as_account": LITERAL_ROLLUP,
     "rollup_levels": _levels(),
     "rollup_levels_plain": _levels(),
     "rollup_path_level": _path_level(),

@@ -16,7 +16,7 @@ from trailmeter import schemas
 from trailmeter.functions import aggregates, keys, labels
 from trailmeter.operators.joins import left_join_missing_aside, unique_per_key
 from trailmeter.operators.paths import EventColumns, conversion_paths
-from trailmeter.plans import export, monitor, orders, page_views, rollup, user_detail
+from trailmeter.plans import export, factored, monitor, orders, page_views, rollup, user_detail
 from trailmeter.sources.days import read_days, read_quarters, read_table, write_days
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +329,23 @@ def detail_empty_as_missing(spark, sf_dir):
     return _amount_as_double(_detail(spark, sf_dir, empty_account_is_missing=True))
 
 
+def _factored(spark, sf_dir):
+    return factored.factored_detail(
+        A.visits(spark, sf_dir), _path_facts(spark, sf_dir, C.STABLE), A.tags(spark, sf_dir), START, END
+    )
+
+
+def detail_empty_as_account(spark, sf_dir):
+    return _amount_as_double(factored.stacked(_factored(spark, sf_dir)))
+
+
+def rollup_empty_as_account(spark, sf_dir):
+    """From both sides of the detail as they are stored."""
+    path = scratch(spark, "factored")
+    factored.write_factored(_factored(spark, sf_dir), path)
+    return factored.rollup_factored(factored.read_factored(spark, path), START, END)
+
+
 def stored_detail(spark, sf_dir, *versions):
     """The detail as the rollup finds it: written by day and version, read back with a schema."""
     path = scratch(spark, "detail")
@@ -453,6 +470,8 @@ QUERIES: dict[str, Query] = {
     "user_detail_history": detail_history,
     "user_detail_snapshot": detail_snapshot,
     "user_detail_empty_as_missing": detail_empty_as_missing,
+    "user_detail_empty_as_account": detail_empty_as_account,
+    "rollup_empty_as_account": rollup_empty_as_account,
     "rollup_levels": rollup_levels,
     "rollup_levels_plain": rollup_levels_plain,
     "rollup_path_level": rollup_path_level,

@@ -208,7 +208,12 @@ def rollup_levels(
     order is one row, so the last step counts rows and needs no distinct aggregate. No step groups
     by a level alone before its rows are combined on the map side.
     """
-    finest = _by_id(facets(detail, start, end, version, False, empty_account_is_missing), DIMENSIONS)
+    return levels_of(facets(detail, start, end, version, False, empty_account_is_missing), version)
+
+
+def levels_of(rows: DataFrame, version: str) -> DataFrame:
+    """Levels 0-5 and 7 of facet rows."""
+    finest = _by_id(rows, DIMENSIONS)
     per_id = _by_level(finest, "_kind", "_id").agg(_level("_kind", "_id"), *_sums())
     levels = per_id.groupBy("dt", "lvl", *DIMENSIONS).agg(*_sums(), *_counts())
     return _version_columns(levels, version)
@@ -238,7 +243,11 @@ def rollup_paths(
     empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Level 6: by path, path frequency and user tags. Visits are those of the user's whole day."""
-    rows = facets(detail, start, end, version, True, empty_account_is_missing)
+    return paths_of(facets(detail, start, end, version, True, empty_account_is_missing), version)
+
+
+def paths_of(rows: DataFrame, version: str) -> DataFrame:
+    """Level 6 of facet rows that have the path."""
     per_id = _by_id(rows, PATH_DIMENSIONS)
     paths = per_id.groupBy("dt", *PATH_DIMENSIONS).agg(*_sums(), *_counts())
     return _version_columns(paths.withColumn("lvl", F.lit(C.PATH_LEVEL)), version)

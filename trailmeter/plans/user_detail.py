@@ -208,6 +208,33 @@ def tagged_identities(
     )
 
 
+def members(
+    events: DataFrame, tags: UserTags, start: str, end: str | None = None
+) -> DataFrame:
+    """Distinct identities per day with their tags and their user's summary."""
+    return left_join_missing_aside(
+        tagged_identities(events, tags, start, end),
+        user_summary(events),
+        "user_id",
+        also=["dt"],
+        empty_is_missing=False,
+    )
+
+
+def described(rows: DataFrame, version: str) -> DataFrame:
+    """Add the labels and partition columns that follow from a version."""
+    snapshot = version == C.SNAPSHOT
+    other = C.OTHER_CHANNELS_SNAPSHOT if snapshot else C.OTHER_CHANNELS
+    return rows.withColumns(
+        {
+            "platform": F.lit(C.APP),
+            "tc_visit_chan": channel_label(F.col("tc_visit_chan_num"), F.col("_label"), other),
+            "tp": F.lit(C.DAY),
+            "dp": F.lit(C.SNAPSHOT if snapshot else C.STABLE),
+        }
+    )
+
+
 def user_detail(
     visits: DataFrame,
     order_facts: DataFrame,
@@ -224,18 +251,12 @@ def user_detail(
     ``version`` is ``stable``, ``history`` (written as ``stable`` too) or ``snapshot``.
     With ``empty_account_is_missing=False`` all users whose account is '' are one user, and each of
     their identities gets each of their paths: the result grows with the square of their number.
+    ``plans.factored`` keeps that reading without the pairs.
     """
     if version not in (C.STABLE, C.HISTORY, C.SNAPSHOT):
         raise ValueError(f"unknown version: {version!r}")
-    snapshot = version == C.SNAPSHOT
     events = unified_events(visits, order_facts, start, end, empty_account_is_missing)
-    identities = left_join_missing_aside(
-        tagged_identities(events, tags, start, end),
-        user_summary(events),
-        "user_id",
-        also=["dt"],
-        empty_is_missing=False,
-    )
+    identities = members(events, tags, start, end)
     # Identities meet paths chunk by chunk, so a user with very many orders is several groups here.
     # Paths are laid out by chunk already. The last chunk may be empty; only chunk 0 never is.
     last_chunk = F.coalesce(chunk_of(F.col("_orders")), F.lit(0).cast("bigint"))
@@ -247,13 +268,5 @@ def user_detail(
         also=["dt", "_chunk"],
         empty_is_missing=False,
     ).where((F.col("_chunk") == 0) | F.col("parent_sale_ord_id").isNotNull())
-    other = C.OTHER_CHANNELS_SNAPSHOT if snapshot else C.OTHER_CHANNELS
-    return detail.withColumns(
-        {
-            "platform": F.lit(C.APP),
-            "tc_visit_chan": channel_label(F.col("tc_visit_chan_num"), F.col("_label"), other),
-            "path_user_visit_freq": frequency_label(F.col("all_times")),
-            "tp": F.lit(C.DAY),
-            "dp": F.lit(C.SNAPSHOT if snapshot else C.STABLE),
-        }
-    ).select(*DETAIL_COLUMNS)
+    labels = {"path_user_visit_freq": frequency_label(F.col("all_times"))}
+    return described(detail, version).withColumns(labels).select(*DETAIL_COLUMNS)
