@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,12 +26,46 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Removes the shuffle files of a query when it has ended, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_collecting: list[list[str]] = []
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back: the lineage ends here, so a
-    lost executor costs no recomputation of what is stored."""
-    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lost executor costs no recomputation of what is stored, and the shuffles behind it are removed."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    for paths in _collecting:
+        paths.append(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def collected() -> Iterator[list[str]]:
+    """The folders that stored() makes meanwhile."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that stored() made and that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

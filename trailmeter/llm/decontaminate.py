@@ -16,6 +16,8 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,16 +108,20 @@ class Matcher:
         return best
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """(doc_id, item_id, distance) of each document row and test item that it holds within the budget."""
-    spark = docs.sparkSession
+def _passes(items: DataFrame) -> list[Broadcast]:
+    """The test items in parts of about PASS_CHARS letters."""
+    spark = items.sparkSession
     some = items.where("text is not null").select("item_id", "text")
     size = some.agg(F.sum(F.char_length("text"))).first()[0] or 0
     passes = max(1, math.ceil(size / PASS_CHARS))
+    parts = [some.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i) for i in range(passes)]
+    return [spark.sparkContext.broadcast([(r.item_id, r.text) for r in p.toLocalIterator()]) for p in parts]
+
+
+def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """(doc_id, item_id, distance) of each document row and test item that it holds within the budget."""
     out = None
-    for i in range(passes):
-        part = some.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in part.toLocalIterator()])
+    for shared in _passes(items):
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             matcher = Matcher(shared.value, rate)
@@ -126,8 +132,23 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataF
                     for item, d in matcher.hits(text).items()
                 ]
                 frame = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance"])
-                yield frame.astype({"doc_id": "Int64", "item_id": "int64", "distance": "int64"})
+                yield frame.astype({"doc_id": "Int64", "item_id": "Int64", "distance": "int64"})
 
         found = docs.select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long, distance long")
         out = found if out is None else out.union(found)
     return out
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """The rows of docs that hold no test item within its budget, each judged where it lies."""
+    place = docs.columns.index("text")
+    for shared in _passes(items):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
+            for batch in batches:
+                clean = [not matcher.hits(text.as_py()) for text in batch.column(place)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -30,14 +30,18 @@ SHARE, ROUNDS, LEAST_ROWS = 0.75, 4, 50
 BINS = 64
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, lang, source) with the base counts, without the text."""
+def counted(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """docs (doc_id, text, lang, source) with the base counts, without the text; whole: with the row as it
+    was in __llm_row."""
+    row = ["__llm_row"] if whole else []
+    docs = docs.withColumn("__llm_row", F.struct("*")) if whole else docs
     text = docs.select(
-        "doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("t")
+        "doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("t"), *row
     ).select(
         "doc_id",
         "lang",
         "source",
+        *row,
         F.filter(F.split("t", f"{SPACES}+"), lambda w: w != "").alias("w"),
         (F.size(F.split("t", SYMBOLS)) - 1).alias("n_symbols"),
         F.filter(F.split("t", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("l"),
@@ -46,6 +50,7 @@ def counted(docs: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         "source",
+        *row,
         F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
@@ -221,9 +226,9 @@ def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
     return got.withColumns(means).withColumns(parts).select(*GROUP, "n", *means, *parts)
 
 
-def quality(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, the base counts, base_failed, kept, d2) for each row of docs."""
-    counts = stored(vectors(counted(docs)))
+def _judged(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """The base counts with base_failed, kept and d2 for each row of docs, and the row if whole."""
+    counts = stored(vectors(counted(docs, whole)))
     # The estimates are of texts with words enough; the base rule has rejected the others.
     words = F.col("n_words")
     base_failed = (words < 20) | (100 * F.col("n_repeat_words") > 30 * words)
@@ -266,4 +271,15 @@ def quality(docs: DataFrame) -> DataFrame:
         base_failed.alias("base_failed"),
         (~base_failed & inside).alias("kept"),
         total.alias("d2"),
+        *(["__llm_row"] if whole else []),
     )
+
+
+def quality(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_words, the base counts, base_failed, kept, d2) for each row of docs."""
+    return _judged(docs)
+
+
+def passed(docs: DataFrame) -> DataFrame:
+    """The rows of docs that are kept. Each row carries its own verdict, so nothing is joined by id."""
+    return _judged(docs, whole=True).where("kept").select("__llm_row.*")

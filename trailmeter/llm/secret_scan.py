@@ -146,16 +146,8 @@ def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, mark: str = "[SECRET]", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """docs with each found span replaced by the mark; overlapping spans become one mark. Column names
-    that begin with __llm_ are reserved."""
-    found = secrets(docs, max_owners).where("spans <> ''")
-    found = found.select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash"), F.col("found").alias("__llm_found"))
-    found = found.dropDuplicates(["__llm_id", "__llm_hash"])
-    own = docs.withColumn("__llm_own", F.xxhash64(F.coalesce("text", F.lit("")), F.char_length(F.coalesce("text", F.lit("")))))
-    joined = own.join(
-        found, F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_own") == F.col("__llm_hash")), "left"
-    )
+def _masked(spans: str, mark: str) -> Column:
+    """The column text with each of the sorted spans replaced by the mark."""
 
     def step(a: Column, s: Column) -> Column:
         # A span that begins before the last one's end only moves that end.
@@ -168,5 +160,33 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", max_owners: int = MAX_OWNE
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     rest = lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    text = F.when(F.col("__llm_found").isNull(), F.col("text")).otherwise(F.aggregate("__llm_found", start, step, rest))
-    return joined.withColumn("text", text).drop("__llm_own", "__llm_id", "__llm_hash", "__llm_found")
+    masked = F.aggregate(spans, start, step, rest)
+    return F.when(F.coalesce(F.size(spans), F.lit(0)) > 0, masked).otherwise(F.col("text"))
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]", max_owners: int = MAX_OWNERS) -> DataFrame:
+    """docs with each found span replaced by the mark; overlapping spans become one mark. Only texts with a
+    long token, whose verdict hangs on the corpus, are joined with it; base spans are replaced where the
+    text lies. Column names that begin with __llm_ are reserved."""
+    text = F.coalesce("text", F.lit(""))
+    hangs = text.rlike(TOKEN)
+    base = F.array_sort(
+        F.concat(
+            F.filter(_found(ASSIGN, "assign", "__llm_text"), lambda s: F.char_length(s["value"]) >= 12),
+            _found(ACCESS, "access", "__llm_text"),
+            _found(HEX, "hex", "__llm_text"),
+        )
+    )
+    alone = docs.where(~hangs).withColumn("__llm_text", text).withColumn("__llm_found", base)
+    alone = alone.withColumn("text", _masked("__llm_found", mark)).drop("__llm_text", "__llm_found")
+    found = secrets(docs, max_owners).where("spans <> ''")
+    found = found.select(
+        F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash"), F.col("found").alias("__llm_found")
+    )
+    found = found.dropDuplicates(["__llm_id", "__llm_hash"])
+    own = docs.where(hangs).withColumn("__llm_own", F.xxhash64(text, F.char_length(text)))
+    joined = own.join(
+        found, F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_own") == F.col("__llm_hash")), "left"
+    )
+    joined = joined.withColumn("text", _masked("__llm_found", mark))
+    return alone.unionByName(joined.drop("__llm_own", "__llm_id", "__llm_hash", "__llm_found"))
