@@ -1,68 +1,92 @@
-"""The corpus pipeline: operators of trailmeter.llm in stages, from documents to packed sequences."""
+"""The corpus pipeline: operators of trailmeter.llm in stages, from documents to packed sequences.
+
+A stage takes what its predecessor wrote, so the folders that a stage needs in between are deleted when the
+next one begins, unless its input still reads them.
+
+Nulls, ties and odd rows: a row is judged by itself, whether or not it has an id or shares it. A null or empty
+text fails the quality rules; of near duplicates the row of the smallest id stays (rows without id come
+last, and of equal ids any one stays); decontamination and the secret scan leave null texts as they are;
+an empty table gives none; columns beside those of documents are dropped.
+"""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmeter.llm.common import stored, table
-from trailmeter.llm.decontaminate import contaminated
+from trailmeter.llm.common import collected, removed, stored, table
+from trailmeter.llm.decontaminate import decontaminated
 from trailmeter.llm.near_dedup import near_duplicates
 from trailmeter.llm.packing import packed
-from trailmeter.llm.quality import quality
+from trailmeter.llm.quality import passed
 from trailmeter.llm.secret_scan import redacted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_earlier: list[str] = []
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with _row, a key of its own for each row, in the order of ids (nulls last), texts and places. It is
-    stored, so a lost task gives no other keys; ranges are cut by place too, so equal rows fill no single task."""
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("_place")]
-    rows = docs.select(*COLUMNS).withColumn("_place", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(rows.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
+def _stage(function: Stage) -> Stage:
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = " ".join(docs.inputFiles())
+        for path in [p for p in _earlier if p.rsplit("/", 1)[-1] not in read]:
+            removed(spark, path)
+            _earlier.remove(path)
+        with collected() as made:
+            out = function(spark, docs.select(*COLUMNS), sf_dir)
+        _earlier.extend(made)
+        return out
 
-
-def _without(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """docs less the rows that rejected names; it sees row keys as doc_id, so a row without id, or with that of
-    another row, is judged by itself. Both sides grow with the data, so neither is broadcast by hint."""
-    rows = _keyed(docs)
-    gone = rejected(rows.withColumn("doc_id", F.col("_row")).drop("_row")).select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
+    return run
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the outlier verdict rejects go."""
-    return _without(docs, lambda rows: quality(rows).where("not kept"))
+    return passed(docs)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates stays, the one of the smallest id (rows without id are last)."""
-    return _without(docs, lambda rows: near_duplicates(rows).where("not kept"))
+    """One row of each group of near duplicates stays, the one of the smallest id. Rows get a key of their
+    own, stored so that a lost task gives no other; only the keys of rows that go are joined with texts."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+    group = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    group = stored(group.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")))
+    several = group.groupBy("group").agg(F.count("_row").alias("n")).where("n > 1").select("group")
+    group = group.join(several, "group").join(rows.select("_row", "doc_id"), "_row")
+    group = stored(group.withColumn("rank", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")))
+    stays = group.groupBy("group").agg(F.min("rank").alias("least")).select("group", "least")
+    gone = group.join(stays, "group").where(~F.col("rank").eqNullSafe(F.col("least"))).select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item within its error budget go."""
-    return _without(docs, lambda rows: stored(contaminated(rows, table(spark, sf_dir, "benchmark"))))
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are masked; the number of characters follows the new text."""
     changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    clean = redacted(docs.select(*COLUMNS, F.col("text").alias("_before")))
+    clean = redacted(docs.withColumn("_before", F.col("text")))
     n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents left, as pieces of packed sequences."""
     return packed(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("decontamination", decontamination),
@@ -75,10 +99,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another; each result is stored, as the next stage reads it several times."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another; each result is stored, and deleted once the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = stored(docs)
+            with collected() as now:
+                docs = stored(docs)
+            for path in before:
+                removed(spark, path)
+            before = now
     return docs
