@@ -72,7 +72,8 @@ def turns(conversations: DataFrame) -> DataFrame:
 
 def rebuilt(conversations: DataFrame, most: int = 6, family: int = 100) -> tuple[DataFrame, DataFrame]:
     """All conversations (conv), and the turns (conv, at, k1, k2, letters) of their rebuilt form: the first
-    h turns of conversation c - c % family, then c's own after its first h; h = crc32(c) % most."""
+    h turns of conversation c - c % family (the remainder has the sign of c), then c's own after its first
+    h; h = crc32(c) % most."""
     all_turns = stored(turns(conversations))
     # The number of turns is on each row, so the first turn alone tells it.
     convs = all_turns.where("at = 0").select(
