@@ -2,7 +2,8 @@
 
 Reads BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8). Results go to Spark's
 noop sink, so every column is computed. The rollup reads a stored detail, as the daily job does; the
-time to store it is its own entry.
+time to store it is its own entry. The control, a fixed scan and aggregate, is timed before and after, so that
+times of two machines or days can be compared by their ratio to it ("relative").
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from harness import queries as Q  # noqa: E402
 from harness.adapters import END, START  # noqa: E402
 from trailmeter.constants import SNAPSHOT, STABLE  # noqa: E402
@@ -30,8 +33,12 @@ DIRECT = [
     "order_facts_stable",
     "order_facts_snapshot",
     "conversion_path",
+    "conversion_path_cumulative",
     "null_skip_join",
     "user_detail",
+    "user_detail_snapshot",
+    "user_detail_history",
+    "rollup_empty_as_account",
     "overwrite_roundtrip",
 ]
 
@@ -46,6 +53,13 @@ def compute(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def control(spark, sf_dir: str) -> float:
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    prices = F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    keys = ("l_returnflag", "l_linestatus", "l_suppkey")
+    return timed(lambda: compute(line.groupBy(*keys).agg(prices, F.count_distinct("l_partkey"))))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -62,7 +76,8 @@ def main() -> None:
     only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
     # Start the JVM's compilers on the smallest query before anything is timed.
     compute(Q.QUERIES["json_field"](spark, sf_dir))
-    times = {}
+    control(spark, sf_dir)
+    controls, times = [control(spark, sf_dir)], {}
     for name in DIRECT:
         if not only or name in only:
             times[name] = timed(lambda: compute(Q.QUERIES[name](spark, sf_dir)))
@@ -81,11 +96,15 @@ def main() -> None:
         }
         for name, plan in plans.items():
             times[name] = timed(lambda: compute(plan(detail, START, END, STABLE)))
+    controls.append(control(spark, sf_dir))
+    base = sum(controls) / 2
     result = {
         "metric": "total query time",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "control": controls,
+        "relative": {name: round(seconds / base, 2) for name, seconds in times.items()},
         "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
     }
     spark.stop()

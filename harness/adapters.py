@@ -53,7 +53,13 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text("l_linenumber"))
         .alias("last_pos_id"),
         F.when(F.col("l_linestatus") == "F", "2").otherwise("3").alias("loc"),
-        F.when(_every("l_partkey", 4), "1").otherwise("0").alias("is_bill"),
+        # Flags that read otherwise as a number than as text: empty, missing, with a leading zero.
+        F.when(_every("l_partkey", 4), "1")
+        .when(_every("l_partkey", 9), "")
+        .when(_every("l_partkey", 11), None)
+        .when(_every("l_partkey", 13), "01")
+        .otherwise("0")
+        .alias("is_bill"),
         F.when(_every("l_suppkey", 9), "").otherwise(_text("l_linenumber")).alias("event_type"),
         _text("l_orderkey").alias("sid"),
         F.col("l_extendedprice").alias("total_price"),

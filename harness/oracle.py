@@ -24,7 +24,8 @@ CLICKS = f"""clicks as (
     case when l_partkey % 5 = 0 then '0' when l_partkey % 7 = 0 then ''
       else cast(l_linenumber as varchar) end as last_pos,
     if(l_linestatus = 'F', '2', '3') as loc,
-    if(l_partkey % 4 = 0, '1', '0') as billed_flag,
+    case when l_partkey % 4 = 0 then '1' when l_partkey % 9 = 0 then ''
+      when l_partkey % 11 = 0 then null when l_partkey % 13 = 0 then '01' else '0' end as billed_flag,
     if(l_suppkey % 9 = 0, '', cast(l_linenumber as varchar)) as event_type,
     cast(l_orderkey as varchar) as sid, l_extendedprice as price,
     (['RTB_all', 'rtbnc', 'GDT'])[l_orderkey % 3 + 1] as part,
@@ -44,7 +45,8 @@ PLAY = f"""case
 
 # The key columns as every check names them, and two row tests.
 KEY = "dt, att as ad_traffic_type, mode as combine_play_type"
-BILLED = "part = 'RTB_all' and billed_flag <> '1'"
+# Counts read the flag as a number, the match reads it as text.
+BILLED = "part = 'RTB_all' and try_cast(billed_flag as int) <> 1"
 CLIENT = "event_type in ('0', '1', '3', '4')"
 
 C_ROWS = f"c as (select *, {PLAY} as mode from clicks)"
@@ -69,7 +71,7 @@ from c where {BILLED} and loc = '2' group by all"""
 M5A = f"""select {KEY}, cast(sum(clicks) as bigint) as summary_finance_clicks
 from w where flag <> 'R' and flag <> 'N' and mode = '{C.PLAY_MEDIA}' group by all"""
 M5B = f"""select {KEY}, count(*) as detail_finance_clicks
-from c where part in ('RTB_all', 'GDT') and billed_flag <> '1' and loc = '2'
+from c where part in ('RTB_all', 'GDT') and try_cast(billed_flag as int) <> 1 and loc = '2'
   and mode = '{C.PLAY_MEDIA}' group by all"""
 
 
