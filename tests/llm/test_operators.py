@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from trailmeter.llm import queries
 from trailmeter.llm.common import components, ranked, scratch_dir, table
-from trailmeter.llm.decontaminate import Matcher, budget, contaminated, distance, masks, normal
+from trailmeter.llm.decontaminate import Matcher, budget, contaminated, decontaminated, distance, masks, normal
 from trailmeter.llm.language_id import identified, page_evidence
 from trailmeter.llm.near_dedup import likely_similarity, near_duplicates, registers
 from trailmeter.llm.packing import END, encoder, knapsack, packed, patterns, vocabulary
-from trailmeter.llm.quality import quality
+from trailmeter.llm.quality import passed, quality
 from trailmeter.llm.secret_scan import redacted, secrets
 from trailmeter.llm.shards import sharded
 from trailmeter.llm.substring_dedup import deduplicated, repeated
@@ -240,6 +241,49 @@ def test_repeated_lists_and_texts_without_spaces(spark):
     assert sorted(t.strip() for t in left[8:]) == ["a", "b c"]
 
 
+def test_short_repeated_lines_go(spark):
+    line = "Subscribe to our newsletter now"
+    rows = [(1, f"one two three four\n{line}\nfive"), (2, f"six seven\n  {line.upper()}  \neight"), (3, f"{line}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("removed", F.lit("clash"))
+    out = {r["doc_id"]: r for r in deduplicated(docs, run_words=50).collect()}
+    assert [out[i]["text"] for i in (1, 2, 3)] == [rows[0][1], "six seven\n\neight", ""]
+    assert [len(out[i]["removed"] or ()) for i in (1, 2, 3)] == [0, 1, 1]
+
+
+def test_paragraphs_with_short_lines_go(spark):
+    block = "a\nb c\nd"
+    rows = [(1, f"own text here\n\n{block}\n\nend of one"), (2, f"other words\n\n{block}\n\nlast of two")]
+    out = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), run_words=50).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == {1: rows[0][1], 2: "other words\n\n\n\nlast of two"}
+
+
+def test_runs_of_odd_rows(odd, none):
+    rows = repeated(odd, run_words=50).collect()
+    assert [(r["doc_id"], r["first_doc_id"]) for r in rows] == [(2, 1)]
+    assert repeated(none, run_words=50).count() == 0 == deduplicated(none, run_words=50).count()
+    out = deduplicated(odd, run_words=50).collect()
+    assert len(out) == 13 and {r["text"] for r in out if r["doc_id"] == 2} == {""}
+
+
+def test_passages_between_other_texts_are_found(spark):
+    """Passages of 51 to 90 words at any place of longer texts, two of them with ends of their own."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    shared = [[word() for _ in range(n)] for n in (51, 60, 90)]
+    texts, want = {}, defaultdict(set)
+    for i in range(24):
+        parts = [word() for _ in range(rng.randrange(40, 200))]
+        passage = shared[i % 3][: -5 if i % 6 == 3 and i % 3 == 2 else None]
+        texts[i] = " ".join([*parts, *passage, *[word() for _ in range(rng.randrange(40, 200))]])
+        if i >= 3:
+            begin = len(" ".join(parts)) + 1
+            want[i] = set(range(begin, begin + len(" ".join(passage))))
+    found = defaultdict(set)
+    for r in repeated(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), run_words=50).collect():
+        found[r["doc_id"]].update(range(r["start"], r["end"]))
+    assert found == want
+
+
 def base_spans(text):
     text, out = text or "", []
     kinds = [
@@ -414,7 +458,7 @@ def test_token_rollup(spark):
     def change(*rows):
         return spark.createDataFrame(list(rows), "op string, doc_id long, source string, lang string, version string, tokens long")
 
-    rollup = Rollup(spark, f"{scratch_dir(spark)}/rollup-test")
+    rollup = Rollup(spark, f"{scratch_dir(spark)}/{uuid.uuid4().hex}")
     rollup.commit(1, change(("insert", 1, "a", "en", "v1", 10), ("insert", 2, None, "en", "v1", 5), ("insert", 3, "a", None, "v1", 7)))
     for _ in range(2):
         rollup.commit(2, change(("revise", 1, "a", "en", "v2", 12), ("delete", 3, None, None, None, 0), ("delete", 99, None, None, None, 0)))
@@ -427,7 +471,7 @@ def test_token_rollup(spark):
 def test_token_rollup_is_opened_again(spark):
     """Batches are known from storage; one that was cut off before its mark is not, and is committed anew."""
     schema = "op string, doc_id long, source string, lang string, version string, tokens long"
-    folder = f"{scratch_dir(spark)}/rollup-again"
+    folder = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     Rollup(spark, folder).commit(1, spark.createDataFrame([("insert", 1, "a", "en", "v", 10), ("insert", 2, "a", "en", "v", 5)], schema))
     second = spark.createDataFrame([("delete", 1, None, None, None, 0), ("revise", 2, "a", "en", "v", 4)], schema)
     Rollup(spark, folder).commit(2, second)
@@ -441,6 +485,33 @@ def test_token_rollup_is_opened_again(spark):
     assert [tuple(r) for r in Rollup(spark, folder).totals().collect()] == [("a", "en", "v", 4, 1)]
 
 
+def test_token_rollup_counts_each_copy_in_order(spark):
+    """Rows without id, rows of one id, and several changes of one document in a batch."""
+    schema = "op string, doc_id long, digest long, source string, lang string, version string, tokens long, seq long"
+
+    def change(*rows):
+        return spark.createDataFrame([(op, i, d, "a", "en", "v", n, s) for op, i, d, n, s in rows], schema)
+
+    def totals(rollup):
+        return [tuple(r)[3:] for r in rollup.totals().collect()]
+
+    rollup = Rollup(spark, f"{scratch_dir(spark)}/{uuid.uuid4().hex}")
+    rollup.commit(1, change(*[("insert", None, k % 7, 4, 0) for k in range(10)], ("insert", 5, 1, 2, 0), ("insert", 5, 2, 4, 0)))
+    assert totals(rollup) == [(46, 12)]
+    rollup.commit(2, change(("revise", 5, 1, 10, 1), ("revise", 5, 1, 4, 2), ("insert", 6, 1, 9, 1), ("delete", 6, 1, 0, 2)))
+    assert totals(rollup) == [(48, 12)]
+    rollup.commit(3, change(("delete", 5, 2, 0, 1), ("insert", 5, 2, 7, 2), ("revise", None, 0, 1, 1), ("revise", 8, 1, 3, 1)))
+    assert totals(rollup) == [(48 - 4 + 7 - 8 + 2 + 3, 13)]
+    rollup.compact()
+    opened = Rollup(spark, rollup.folder)
+    assert opened.base == 3 and totals(opened) == [(48, 13)]
+    for _ in range(2):
+        opened.commit(4, change(("delete", None, 0, 0, 1), ("delete", 8, 1, 0, 1)))
+    assert totals(opened) == [(48 - 2 - 3, 10)]
+    with pytest.raises(ValueError, match="older"):
+        opened.commit(3, change())
+
+
 def test_word_counts_of_odd_rows(odd, none):
     got = {(r["doc_id"], r["tokens"]) for r in word_counts(odd).collect()}
     assert {(1, 60), (4, 0), (5, 0), (6, 0), (8, 2), (None, 2), (None, 0)} <= got and word_counts(none).count() == 0
@@ -473,3 +544,42 @@ def test_languages_of_odd_rows(spark, documents, none):
     assert len(rows) == 4 and all(r["lang"] for r in rows)
     assert {r["lang"] for r in identified(page_evidence(pages), none).collect()} == {None, "de"}
     assert identified(page_evidence(pages.where("false")), documents).count() == 0
+
+
+def test_items_without_id_are_found(spark):
+    """A null item id is an id like any other; rows that hold an item go, each judged by itself."""
+    item = " ".join(f"question{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"so {item} ends"), (None, item), (2, "clean"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (7, None), (8, "")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["distance"]) for r in contaminated(docs, items).collect()}
+    assert found == {(1, None, 0), (None, None, 0)}
+    assert sorted(r["doc_id"] for r in decontaminated(docs, items).collect()) == [2, 3]
+    assert decontaminated(docs.where("false"), items).count() == 0 and decontaminated(docs, items.where("false")).count() == 4
+
+
+def test_texts_with_and_without_long_tokens_are_masked_alike(spark):
+    """Base spans go where the text lies; long tokens go if few owners have them."""
+    key, common = "Zq8Lm2Xw9Rt5Yp3Kd7Ns1Vb", "Aa1Bb2Cc3Dd4Ee5Ff6Gg7Hh"
+    rows = [(1, f"x password: abcdefghijkl y", "s1"), (2, f"live {key} and {common}", "s2")]
+    rows += [(3 + i, f"see {common}", f"o{i}") for i in range(4)] + [(9, None, "s3"), (10, "", "s3")]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in rows], "doc_id long, text string, lang string, source string")
+    out = {r["doc_id"]: r["text"] for r in redacted(docs).collect()}
+    assert out[1] == "x [SECRET] y" and out[2] == f"live [SECRET] and {common}"
+    assert all(out[3 + i] == f"see {common}" for i in range(4)) and out[9] is None and out[10] == ""
+
+
+def test_kept_rows_come_back_whole(documents, odd, none):
+    """The rows that pass are those whose verdict says so, with all their columns."""
+    kept = {r["doc_id"] for r in quality(documents).where("kept").collect()}
+    rows = passed(documents).collect()
+    assert {r["doc_id"] for r in rows} == kept and rows[0].asDict().keys() == set(documents.columns)
+    assert passed(odd).columns == odd.columns and passed(none).count() == 0
+
+
+def test_partners_in_a_group_are_found_by_size(spark):
+    """Fragments of one text that are linked with each other but not with the whole."""
+    words = [f"w{i}" for i in range(200)]
+    texts = {1: " ".join(words), 2: " ".join(words[:150]), 3: " ".join(words[:160]), 4: " ".join(words[20:170]), 5: " ".join(words[:155])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, width=4).collect()}
+    assert found == linked(texts, 4)[1]

@@ -70,7 +70,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, bpe_counts(docs, vocabulary()).withColumn("op", F.lit("revise")))
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"))
     first = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
-    copies = hashed.join(first, ["h1", "h2"]).where("doc_id > first").select("doc_id", F.lit("delete").alias("op"))
+    copies = hashed.join(first, ["h1", "h2"]).where("doc_id > first")
+    copies = copies.select("doc_id", F.col("h1").alias("digest"), F.lit("delete").alias("op"))
     unknown = {k: F.lit(None).cast("string") for k in ("source", "lang", "version")}
     rollup.commit(3, copies.withColumns({**unknown, "tokens": F.lit(0).cast("long")}))
     return rollup.totals()
