@@ -502,6 +502,10 @@ from ({MERGED_ROLLUP})"""
 EXPORT_FILES = f"""select dt, count(*) as n, cast(sum({_shard(SHARD_COLUMNS)}) as bigint) as shards
   from ({_levels()}) group by dt"""
 
+SHARD_FILES = f"""select dt, cast(sum(1) as bigint) as n, min({_shard(SHARD_COLUMNS)}) as first,
+  max({_shard(SHARD_COLUMNS)}) as last, cast(0 as bigint) as overlaps
+  from ({_levels()}) group by dt"""
+
 OVERWRITE = """with rows as (
   select event_id, strftime(ts, '%Y-%m-%d') as dt, 'day' as tp, day(ts) % 2 as odd from events)
 select event_id, 1::int as run, dt, tp, 'stable' as dp from rows
@@ -585,5 +589,6 @@ select event_id, account, segment from e left join r on nullif(account, '') = k"
     "export_normal": _export("normal"),
     "export_history": _export("history"),
     "export_files": EXPORT_FILES,
+    "export_shard_files": SHARD_FILES,
     "overwrite_roundtrip": OVERWRITE,
 }

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harness import adapters as A
@@ -417,6 +417,20 @@ def export_files(spark, sf_dir):
     )
 
 
+def export_shard_files(spark, sf_dir):
+    """The manifest of files by ranges of shard keys: rows and keys per day, and files that overlap."""
+    stored, path = scratch(spark, "rollup"), scratch(spark, "shards")
+    write_days(rollup_levels(spark, sf_dir), stored, ("dt", "tp", "dp"))
+    files = export.export_shards(read_table(spark, stored, schemas.ROLLUP), path, START, END)
+    before = F.lag("max_shard").over(Window.partitionBy("dt").orderBy("min_shard"))
+    return files.withColumn("before", before).groupBy("dt").agg(
+        F.sum("rows").alias("n"),
+        F.min("min_shard").alias("first"),
+        F.max("max_shard").alias("last"),
+        F.count_if(F.col("before") >= F.col("min_shard")).alias("overlaps"),
+    )
+
+
 def overwrite_roundtrip(spark, sf_dir):
     """Write both versions of all days, then one version of the odd days again."""
     path = scratch(spark, "overwrite")
@@ -483,5 +497,6 @@ QUERIES: dict[str, Query] = {
     "export_normal": _export(export.NORMAL),
     "export_history": _export(export.HISTORY),
     "export_files": export_files,
+    "export_shard_files": export_shard_files,
     "overwrite_roundtrip": overwrite_roundtrip,
 }

@@ -47,3 +47,32 @@ def test_files_replace_their_days_and_are_sorted(rollup, spark, tmp_path):
         assert keys == sorted(keys)
     export.export_files(rollup({"dp": "stable", "tp": "week"}), path, DAY)
     assert [r.lvl for r in spark.read.parquet(path).collect()] == ["0"]
+
+
+def test_files_hold_ranges_of_shards(rollup, spark, tmp_path):
+    path = str(tmp_path / "out")
+    many = [{"dp": "stable", "lvl": str(n % 8), "tc_visit_chan": f"c{n}"} for n in range(300)]
+    days = [{**row, "dt": day} for day in (DAY, "2024-01-02") for row in many]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        manifest = export.export_shards(rollup(*days), path, DAY, "2024-01-02")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = sorted(manifest.collect(), key=lambda r: (r.dt, r.min_shard))
+    assert sum(r.rows for r in files) == 600 and len(files) >= 8
+    for a, b in zip(files, files[1:]):
+        assert a.dt < b.dt or a.max_shard < b.min_shard
+    one = files[1]
+    found = export.files_of_shards(manifest.where(F.col("dt") == one.dt), one.min_shard, one.max_shard)
+    assert found == [one.file]
+    rows = spark.read.parquet(one.file).agg(F.min(export.SHARD), F.max(export.SHARD)).first()
+    assert tuple(rows) == (one.min_shard, one.max_shard)
+
+
+def test_ranges_replace_their_days(rollup, spark, tmp_path):
+    path = str(tmp_path / "out")
+    export.export_shards(rollup({"dp": "stable"}, {"dp": "stable", "dt": "2024-01-02"}), path, DAY, "2024-01-02")
+    left = export.export_shards(rollup({"dp": "snapshot"}, {"dp": "stable", "tp": "week"}), path, DAY, "2024-01-02")
+    assert [(r.dt, r.rows) for r in left.collect()] == [(DAY, 1)]

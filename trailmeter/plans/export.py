@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmeter import constants as C
 from trailmeter.functions.keys import shard_key
 from trailmeter.schemas import ROLLUP_COLUMNS
-from trailmeter.sources.days import read_days, write_days
+from trailmeter.sources.days import days_of, read_days, read_table, write_days
 
 NORMAL, HISTORY = "normal", "history"
 COLUMNS = ["dt", *[name for name in ROLLUP_COLUMNS if name not in ("dt", "tp")]]
@@ -57,6 +57,42 @@ def export_files(
     )
 
 
+def export_shards(
+    rollup: DataFrame,
+    path: str,
+    start: str,
+    end: str | None = None,
+    pattern: str = NORMAL,
+) -> DataFrame:
+    """Replace the exported days like ``export_files``, but with one range of shard keys in each file,
+    and return the manifest: the loader of a shard opens the files whose range holds it."""
+    rows = export_rows(rollup, start, end, pattern)
+    write_days(rows, path, clear=(start, end or start), sort=C.EXPORT_SORT, ranges=[SHARD])
+    return shard_manifest(rollup.sparkSession, path, start, end)
+
+
+def shard_manifest(
+    spark: SparkSession, path: str, start: str, end: str | None = None
+) -> DataFrame:
+    """(dt, file, rows, min_shard, max_shard) of the files of some days; only one column is read."""
+    stored = read_table(spark, path, f"{SHARD} int, dt string", days_of(start, end))
+    return (
+        read_days(stored, start, end)
+        .groupBy("dt", F.input_file_name().alias("file"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(SHARD).alias("min_shard"),
+            F.max(SHARD).alias("max_shard"),
+        )
+    )
+
+
+def files_of_shards(manifest: DataFrame, first: int, last: int) -> list[str]:
+    """The files that hold any of the shards ``first`` to ``last``."""
+    hit = (F.col("min_shard") <= last) & (F.col("max_shard") >= first)
+    return sorted(r["file"] for r in manifest.where(hit).select("file").collect())
+
+
 def export_jdbc(
     rollup: DataFrame,
     url: str,

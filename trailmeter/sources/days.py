@@ -101,6 +101,7 @@ def write_days(
     partitions: tuple[str, ...] = ("dt",),
     clear: tuple[str, str] | None = None,
     sort: Sequence[str] = (),
+    ranges: Sequence[str] = (),
 ) -> None:
     """Overwrite the partitions that ``df`` has rows for; all others stay.
 
@@ -108,15 +109,18 @@ def write_days(
     over several tasks, where a repartition by ``dt`` would send a whole day to one. ``sort`` orders
     the rows of each file.
 
+    With ``ranges`` each file holds a range of these columns that no other file of its partition
+    overlaps, so a reader of a few values opens few files; neighbouring ranges are joined up to 256 MB.
+
     ``clear=(start, end)`` also empties days of that range without any row, as an overwrite of a
     single static partition does. That is only possible with ``dt`` as the one partition column. It
     is a second step: if the job dies before it, such days keep their old rows until the next run.
     """
     spark = df.sparkSession
     days = None
-    rows = df.hint("rebalance", *partitions)
-    if sort:
-        rows = rows.sortWithinPartitions(*partitions, *sort)
+    rows = df.repartitionByRange(*partitions, *ranges) if ranges else df.hint("rebalance", *partitions)
+    if sort or ranges:
+        rows = rows.sortWithinPartitions(*partitions, *ranges, *sort)
     if clear:
         if tuple(partitions) != ("dt",):
             raise ValueError("clear needs dt as the only partition column")
@@ -124,7 +128,10 @@ def write_days(
         known = F.to_json(F.sort_array(F.collect_set("dt")))
         # Above the sort: an empty input would take the metrics with it.
         rows = rows.observe(days, known.alias("written"))
-    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(FILE_BYTES)}
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(FILE_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
     with settings(spark, sizes):
         (
             rows.write.mode("overwrite")
