@@ -11,7 +11,7 @@ def _sum_before(df: DataFrame, keys: list[str], slots: list[str], value: str) ->
     """(keys, slots, _base, _total): what the earlier slots of a key add up to, and the whole key.
 
     Slots are nested, coarse ones first. At each level one window sees the slots of one slot above.
-    Keys that add up to 0 are left out.
+    With one level, keys that add up to 0 are left out.
     """
     before = None
     for level in range(1, len(slots) + 1):
@@ -22,7 +22,9 @@ def _sum_before(df: DataFrame, keys: list[str], slots: list[str], value: str) ->
         here = F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
         if before is None:
             sums = sums.select(*upper, slot, here.alias("_base"), F.sum("_sum").over(pieces).alias("_total"))
-            before = sums.where(F.col("_total") > 0)
+            # With more levels to join, a filter here would only be turned into one more scan (pruning of
+            # partitions by the keys it leaves).
+            before = sums.where(F.col("_total") > 0) if len(slots) == 1 else sums
         else:
             sums = sums.select(*upper, slot, here.alias("_here")).join(before, upper)
             before = sums.withColumn("_base", F.col("_base") + F.col("_here")).drop("_here")
@@ -44,7 +46,7 @@ def running_sum_before(
     follow the order (all rows of a smaller slot come first): a window inside each piece counts its
     own rows, and windows over one row per piece give what the earlier pieces add up to. A list of
     nested slots, coarse ones first, keeps those windows short as well.
-    ``value`` must not be negative or NULL: keys that add up to 0 are left out of the second table.
+    ``value`` must not be negative or NULL.
     ``total`` optionally names a column for the sum over the whole key.
     """
     slots = [slot] if isinstance(slot, str) else list(slot)

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": str(FILE_BYTES),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The days are literals on every scan already; pruning by a join's keys only adds scans.
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
     # Keeping the Python call site of every expression makes plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A second copy of a write task may leave rows behind in a sink that only appends.
