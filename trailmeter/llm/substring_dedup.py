@@ -1,10 +1,15 @@
-"""Substring dedup by hashing: sentences of each line, runs of them, and runs of words anywhere.
+"""Substring dedup by hashing: lines, paragraphs, sentences, and runs of words anywhere.
 
 Sentences of each line of at least least_words words are units. With run_words, as the query asks, so are
+- lines of LINE_WORDS words or more, and paragraphs of several lines;
 - the shortest runs of whole sentences of least_words words or more that begin or end with a shorter one, so
-  every repeated run of whole sentences (a list, a verse, a paragraph) is found, whatever its lines hold;
+  every repeated run of whole sentences (a list, a verse) is found, whatever its lines hold;
 - all runs of run_words words, wherever they begin and end. The least hash among a run's shingles is its
-  anchor; only runs whose anchor lies in two places are hashed themselves.
+  anchor, and neighbouring runs with one anchor are a segment, which is hashed as a whole. A segment that
+  lies elsewhere as it is says the same of its runs. Only where an anchor has several segments, as at the
+  ends of a passage, are the runs of one segment of each kind hashed themselves.
+A first pass over the texts gives short hashes of units and segments; a second one gives digests of those
+that the first found in several places.
 A unit is normalised (lower case, single spaces), its 128-bit digest is grouped over all documents, the
 occurrence of the smallest (doc_id, place) stays and the others are removed, save those that overlap it;
 offsets are those of the original text. With run_words, removed units that touch are one span.
@@ -28,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmeter.llm.common import stored
+from trailmeter.llm.common import collected, removed, stored
 from trailmeter.llm.shingles import mix
 
-LEAST_WORDS = 8
+LEAST_WORDS, LINE_WORDS = 8, 3
 #: Words of a run that is found wherever it lies, and letters without a space that are cut by their hash.
 RUN_WORDS, LONG = 50, 64
+#: Runs of one segment at most, for texts that repeat themselves.
+SEGMENT = 64
 #: Letters that are hashed at once; a longer document is one piece of its own.
 PIECE = 1 << 20
 _UNIT = re.compile(r"[^\n.!?]+[.!?]*")
@@ -140,13 +147,24 @@ def _anchors(row: np.ndarray, value: np.ndarray, run_words: int) -> tuple[np.nda
 
 
 def _sentences(text: str, least_words: int) -> list[tuple[int, int, int, int, bytes]]:
-    """(place in words, words, start, end, digest) of sentences, and of runs of them at a shorter one."""
-    held, at = [], 0
+    """(place in words, words, start, end, digest) of sentences, of runs of them at a shorter one, of lines
+    and of paragraphs of several lines."""
+    held, at, line, block, before = [], 0, 0, 0, 0
+    lines: dict[int, list[int]] = {}
+    blocks: dict[int, list[int]] = {}
     for unit in _UNIT.finditer(text):
         if found := unit.group().lower().split():
+            gap = text[before : unit.start()]
+            line += gap.count("\n")
+            # A line without a word parts paragraphs.
+            block += len(gap.split("\n")) > 2
+            lines.setdefault(line, []).append(len(held))
+            blocks.setdefault(block, []).append(len(held))
             held.append((at, unit.start(), unit.end(), found))
             at += len(found)
-    spans = set()
+            before = unit.end()
+    spans = {(x[0], x[-1]) for x in lines.values() if sum(len(held[k][3]) for k in x) >= LINE_WORDS}
+    spans |= {(x[0], x[-1]) for x in blocks.values() if "\n" in text[held[x[0]][1] : held[x[-1]][2]]}
     for k in range(len(held)):
         for step in (1, -1):
             end, size = k, len(held[k][3])
@@ -163,6 +181,17 @@ def _sentences(text: str, least_words: int) -> list[tuple[int, int, int, int, by
     return out
 
 
+def _segments(at: np.ndarray, row: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) places in `at` of segments: runs that follow each other with one anchor."""
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.r_[True, (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]]) | (least[1:] != least[:-1])]
+    begin = np.flatnonzero(new)
+    since = np.arange(len(at)) - begin[np.cumsum(new) - 1]
+    first = np.flatnonzero(new | (since % SEGMENT == 0))
+    return first, np.r_[first[1:], len(at)] - 1
+
+
 def _pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of about PIECE letters each."""
     first, texts, size = 0, [], 0
@@ -176,74 +205,128 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, texts
 
 
-def _rows(batch: pa.RecordBatch, rows: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """doc_id and key of rows, beside the columns of _KIND."""
+def _rows(
+    batch: pa.RecordBatch, rows: np.ndarray, columns: list[np.ndarray], schema: str = _KIND
+) -> pa.RecordBatch:
+    """doc_id and key of rows, beside the columns of the schema."""
     arrays = [batch.column(i).take(pa.array(rows, pa.int64())) for i in (0, 1)]
-    names = [c.split() for c in _KIND.split(", ")]
+    names = [c.split() for c in schema.split(", ")]
     arrays += [pa.array(c.astype(np.int32 if k == "int" else np.int64)) for c, (_, k) in zip(columns, names, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", *[n for n, _ in names]])
 
 
-def _found(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
-    """Units of sentences (kind 0) and anchors of runs of words (kind 1) of docs (doc_id, key, text)."""
+UNIT, WHOLE, RUNS = 0, 1, 2
+_MARK = "kind int, at int, size int, h long, anchor long"
+
+
+def _marked(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
+    """Short hashes of units (kind UNIT) and segments (kind WHOLE) of docs (doc_id, key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _pieces(batch.column(2)):
-                row, start, end, hashes = words(texts)
-                base = np.cumsum([0, *[len(t) + 1 for t in texts]])
+                row, _, _, hashes = words(texts)
                 units = [(i, *u) for i, t in enumerate(texts) for u in _sentences(t, least_words)]
-                own, at, size, a, b = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
-                halves = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2).T
-                before = np.searchsorted(row, own)
-                word = np.searchsorted(end, base[own] + a, "right") - before
-                last = np.searchsorted(start, base[own] + b, "left") - before
-                yield _rows(batch, own + first, [own * 0, at, size, a, b, word, last, *halves])
-                _, _, at, value = _anchors(row, hashes[0], run_words)
-                zero = at * 0
-                yield _rows(batch, row[at] + first, [zero + 1, *[zero] * 6, value.view(np.int64), zero])
+                own, place, size, _, _ = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
+                short = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2)[:, 0]
+                yield _rows(batch, own + first, [own * 0 + UNIT, place, size, short, short], _MARK)
+                at, least, _, _ = _anchors(row, hashes[0], run_words)
+                a, b = _segments(at, row, least)
+                own, begin, end = row[at[a]], at[a], at[b] + run_words
+                h = _sums(hashes[0], begin, end, _BASES[0]).view(np.int64)
+                place = begin - np.searchsorted(row, own)
+                yield _rows(batch, own + first, [own * 0 + WHOLE, place, end - begin, h, least[a].view(np.int64)], _MARK)
 
-    return docs.mapInArrow(run, f"doc_id long, key long, {_KIND}")
+    return docs.mapInArrow(run, f"doc_id long, key long, {_MARK}")
 
 
-def _runs(docs: DataFrame, run_words: int) -> DataFrame:
-    """Runs of words (kind 2) of docs (doc_id, key, text, anchors) whose anchor is among anchors."""
+def _hashed(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
+    """Digests of units, segments and runs of docs (doc_id, key, text, wanted): wanted has a number of kind
+    and place in words for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _pieces(batch.column(2)):
                 row, start, end, hashes = words(texts)
                 base = np.cumsum([0, *[len(t) + 1 for t in texts]])
+                held = batch.column(3).slice(first, len(texts))
+                owner = np.repeat(np.arange(len(texts)), [len(x) for x in held])
+                wanted = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                known = {(i, w) for i, w in zip(owner.tolist(), wanted.tolist(), strict=True)}
+                units = [
+                    (i, *u)
+                    for i, t in enumerate(texts)
+                    for u in _sentences(t, least_words)
+                    if (i, (UNIT << 32) + u[0]) in known
+                ]
+                own, at, size, a, b = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
+                halves = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2).T
+                before = np.searchsorted(row, own)
+                word = np.searchsorted(end, base[own] + a, "right") - before
+                last = np.searchsorted(start, base[own] + b, "left") - before
+                yield _rows(batch, own + first, [own * 0, at, size, a, b, word, last, *halves])
                 at, least, _, _ = _anchors(row, hashes[0], run_words)
-                known = batch.column(3).slice(first, len(texts)).flatten().to_numpy(zero_copy_only=False)
-                at = at[np.isin(least.view(np.int64), known)]
-                own = row[at]
-                word, size = at - np.searchsorted(row, own), at * 0 + run_words
-                a, b = start[at] - base[own], end[at + run_words - 1] - base[own]
-                both = [_sums(h, at, at + run_words, x).view(np.int64) for h, x in zip(hashes, _BASES, strict=True)]
-                yield _rows(batch, own + first, [size * 0 + 2, word, size, a, b, word, word + size, *both])
+                low, high = _segments(at, row, least)
+                begin = at[low] - np.searchsorted(row, row[at[low]])
+                for kind in (WHOLE, RUNS):
+                    key = (kind << 32) + begin
+                    asked = np.array([(i, k) in known for i, k in zip(row[at[low]].tolist(), key.tolist(), strict=True)], bool)
+                    some, more = low[asked], high[asked]
+                    if kind == RUNS:
+                        count = more - some + 1
+                        some = np.repeat(some - np.cumsum(count) + count, count) + np.arange(count.sum())
+                        more = some
+                    x, y = at[some], at[more] + run_words
+                    own = row[x]
+                    word, size = x - np.searchsorted(row, own), y - x
+                    both = [_sums(h, x, y, z).view(np.int64) for h, z in zip(hashes, _BASES, strict=True)]
+                    columns = [size * 0 + kind, word, size, start[x] - base[own], end[y - 1] - base[own], word, word + size, *both]
+                    yield _rows(batch, own + first, columns)
 
     return docs.mapInArrow(run, f"doc_id long, key long, {_KIND}")
 
 
-def _spans(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
-    """(doc_id, key, start, end, n_words, first_doc_id) of what is removed; key: a digest of the text."""
-    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    found = stored(_found(texts, least_words, run_words))
-    anchors = found.where("kind = 1").select("doc_id", "key", "d1")
-    # Grouped before the shuffle, so a passage in every text is one row a task.
-    more = anchors.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
-    held = anchors.join(more, "d1").groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    held = held.agg(F.collect_set("d1").alias("anchors"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    runs = stored(_runs(texts.join(held, same).select("doc_id", "key", "text", "anchors"), run_words))
-    units = found.where("kind = 0").unionByName(runs)
-    # The id, then 29 bits of a text without one, then the place in words.
-    whole, last = F.lit(2**62).cast("decimal(19,0)"), F.lit(2**63 - 1)
+def _wanted(marks: DataFrame, run_words: int) -> DataFrame:
+    """(key, wanted): the units and segments that lie in several places, and the segments whose runs may."""
+    place = F.col("at").cast("long")
+    units = marks.where(F.col("kind") == UNIT)
+    twice = units.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    units = units.join(twice, "h").select("key", (F.lit(UNIT << 32) + place).alias("w"))
+    parts = marks.where(F.col("kind") == WHOLE).withColumn("rank", _rank())
+    anchors = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("x"), F.max("h").alias("y"))
+    anchors = anchors.where("n > 1").select("anchor", (F.col("x") < F.col("y")).alias("several"))
+    parts = parts.join(anchors, "anchor")
+    same = parts.groupBy("anchor", "h").agg(F.min("rank").alias("first"), F.max("rank").alias("top"))
+    parts = parts.join(same, ["anchor", "h"])
+    # A segment that is far enough from its first place goes whole; the others' runs are looked at.
+    near = F.col("several") & (F.col("rank") - F.col("first") < F.lit(run_words))
+    kinds = F.array_compact(F.array(F.when(F.col("first") < F.col("top"), WHOLE), F.when(near, RUNS)))
+    parts = parts.select("key", F.explode(kinds).alias("kind"), place.alias("at"))
+    parts = parts.select("key", (F.shiftleft(F.col("kind").cast("long"), 32) + F.col("at")).alias("w"))
+    return units.unionByName(parts).groupBy("key").agg(F.collect_set("w").alias("wanted"))
+
+
+def _rank() -> Column:
+    """The id, then 29 bits of a text without one, then the place in words."""
+    whole = F.lit(2**62).cast("decimal(19,0)")
     digest = F.when(F.col("doc_id").isNull(), F.col("key").bitwiseAND(F.lit(2**29 - 1))).otherwise(F.lit(0))
     inside = (digest * F.lit(2**32) + F.col("at")).cast("decimal(19,0)")
-    rank = (F.coalesce("doc_id", last).cast("decimal(19,0)") * whole + inside).cast("decimal(38,0)")
-    units = units.withColumn("rank", rank)
+    return (F.coalesce("doc_id", F.lit(2**63 - 1)).cast("decimal(19,0)") * whole + inside).cast("decimal(38,0)")
+
+
+def _spans(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
+    """(doc_id, key, start, end, n_words, first_doc_id) of what is removed; key: a digest of id and text.
+    Rows that repeat an id and text are one text here, wherever they lie."""
+    spark = docs.sparkSession
+    texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    with collected() as first_pass:
+        marks = stored(_marked(texts, least_words, run_words))
+    wanted = stored(_wanted(marks, run_words))
+    removed(spark, *first_pass)
+    asked = texts.join(wanted, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "wanted")
+    units = stored(_hashed(asked, least_words, run_words))
+    whole, last = F.lit(2**62).cast("decimal(19,0)"), F.lit(2**63 - 1)
+    units = units.withColumn("rank", _rank())
     first = units.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("top"))
     first = first.where("first < top").select("d1", "d2", "first")
     gone = units.join(first, ["d1", "d2"]).where(F.col("rank") - F.col("first") >= F.col("size"))
@@ -278,15 +361,16 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS, run_words: int | N
 
 
 def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS, run_words: int | None = None) -> DataFrame:
-    """docs with the repeated units cut out of the text, and removed: their spans in the original text."""
+    """docs with the repeated units cut out of the text, and removed (a column of that name is replaced):
+    their spans in the original text. Column names that begin with __llm_ are reserved."""
     same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))
     if run_words is None:
         spans = repeated(docs, least_words).groupBy(F.col("doc_id").alias("__llm_id"))
     else:
         spans = _spans(docs, least_words, run_words)
         spans = spans.groupBy(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key"))
-        same &= F.xxhash64("text") == F.col("__llm_key")
-    spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
+        same &= F.xxhash64("doc_id", "text") == F.col("__llm_key")
+    spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__llm_removed"))
     joined = docs.join(spans, same, "left")
 
     def step(a: Column, s: Column) -> Column:
@@ -295,9 +379,11 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS, run_words: int
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     text = F.aggregate(
-        "removed",
+        "__llm_removed",
         start,
         step,
         lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(text)).drop("__llm_id", "__llm_key")
+    cut = F.when(F.col("__llm_removed").isNull(), F.col("text")).otherwise(text)
+    joined = joined.withColumn("text", cut).withColumn("removed", F.col("__llm_removed"))
+    return joined.drop("__llm_id", "__llm_key", "__llm_removed")
