@@ -12,11 +12,12 @@ columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmeter.llm.common import components, stored
@@ -180,6 +181,11 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(same, "a long, b long, linked boolean, shared long, na long, rest array<long>")
 
 
+def _size_bin(size: Column) -> Column:
+    """Sizes up to 2 % apart share a bin or lie in neighbouring ones; bins follow sizes."""
+    return F.floor(F.log(size.cast("double")) / math.log(1.02)).cast("long")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS
 ) -> DataFrame:
@@ -241,9 +247,14 @@ def near_duplicates(
     across = across.select("a", "a2")
     mine = left.where("not linked").join(small, "b")
     mine = mine.where(f"{100 + percent} * shared >= {percent} * (na + least)")
-    mine = mine.select("b", F.col("a").alias("a2"), F.col("c").alias("c2"), F.col("na").alias("n2"),
+    # What a2 has in p bounds the size of a partner from above, so partners are looked up by size.
+    most = f"least(({100 + percent} * shared - {percent} * na) / {percent}, 100 * na / {percent})"
+    mine = mine.withColumn("lo", F.expr(f"{percent} * na / 100")).withColumn("hi", F.expr(most))
+    sizes = F.sequence(_size_bin(F.col("lo")), _size_bin(F.col("hi")))
+    mine = mine.where("lo <= hi").withColumn("bin", F.explode(sizes))
+    mine = mine.select("b", "bin", F.col("a").alias("a2"), F.col("c").alias("c2"), F.col("na").alias("n2"),
                        F.col("shared").alias("s2"))
-    inside = left.join(mine, "b").where(
+    inside = left.withColumn("bin", _size_bin(F.col("na"))).join(mine, ["b", "bin"]).where(
         f"a <> a2 and c <> c2 and {100 + percent} * least(shared, s2) >= {percent} * (na + n2)"
     )
     across = across.union(inside.select("a", "a2"))
