@@ -125,3 +125,19 @@ def test_a_big_day_is_split_over_tasks(spark, tmp_path):
         days.write_days(df, path)
     assert len(spark.read.parquet(path).inputFiles()) > 2
     assert spark.read.parquet(path).count() == 200_000
+
+
+def test_joins_behind_a_write_keep_small_tasks(spark, tmp_path):
+    """One size holds for all shuffles of a write, so it must not be as large as a file."""
+    path = str(tmp_path / "t")
+    text = F.md5(F.col("id").cast("string"))
+    df = spark.range(100_000, numPartitions=8).groupBy(text.alias("text")).agg(F.count("*").alias("n"))
+    df = df.select("*", F.spark_partition_id().alias("task"), F.lit("2024-01-01").alias("dt"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1m")
+    try:
+        days.write_days(df, path)
+    finally:
+        spark.conf.unset(key)
+    assert spark.read.parquet(path).select("task").distinct().count() > 1
+    assert days.TASK_BYTES <= 64_000_000 < days.FILE_BYTES

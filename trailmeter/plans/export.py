@@ -46,7 +46,7 @@ def export_files(
     end: str | None = None,
     pattern: str = NORMAL,
 ) -> None:
-    """Replace the exported days, in files of about 256 MB, each sorted by the store's key.
+    """Replace the exported days, in files of up to 64 MB of shuffled rows, each sorted by the store's key.
 
     A day takes as many tasks as its bytes ask for. The day is the only partition column: with a part
     as a second one, a rerun would leave behind the parts it has no rows for. Days of the range
