@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import uuid
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmeter.llm import queries
-from trailmeter.llm.common import components, ranked, scratch_dir, table
+from trailmeter.llm.common import collected, components, ranked, scratch_dir, table
 from trailmeter.llm.decontaminate import Matcher, budget, contaminated, decontaminated, distance, masks, normal
 from trailmeter.llm.language_id import identified, page_evidence
 from trailmeter.llm.near_dedup import likely_similarity, near_duplicates, registers
@@ -241,6 +242,16 @@ def test_repeated_lists_and_texts_without_spaces(spark):
     assert sorted(t.strip() for t in left[8:]) == ["a", "b c"]
 
 
+def test_lists_of_the_first_pass_go(spark):
+    """Of the frames in between only the digests are read to the end."""
+    line = "one and the same line of some more than eight words in all"
+    docs = spark.createDataFrame([(n, f"{line}\nown {n}") for n in range(3)], "doc_id long, text string")
+    with collected() as made:
+        rows = repeated(docs, run_words=50).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1, 2] and len(made) == 5
+    assert [p for p in made if os.path.exists(p.removeprefix("file:"))] == made[-1:]
+
+
 def test_short_repeated_lines_go(spark):
     line = "Subscribe to our newsletter now"
     rows = [(1, f"one two three four\n{line}\nfive"), (2, f"six seven\n  {line.upper()}  \neight"), (3, f"{line}")]

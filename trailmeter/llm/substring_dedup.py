@@ -51,6 +51,7 @@ _SPACE = np.array([chr(i).isspace() for i in range(_TOP)])
 _UNSPACED = np.zeros(_TOP, bool)
 for _a, _b in ((0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00)):
     _UNSPACED[_a:_b] = True
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BASES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _KIND = "kind int, at int, size int, start int, end int, word int, last int, d1 long, d2 long"
 
@@ -83,19 +84,30 @@ def units(docs: DataFrame, least_words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
 
+def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n powers or more of an odd base and of its inverse; those of a usual piece are kept."""
+    if base in _powers and len(_powers[base][0]) >= n:
+        return _powers[base]
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    made = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    if n <= 2 * PIECE:
+        _powers[base] = made
+    return made
+
+
 def _sums(values: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
     """Hash of values[first:last], each multiplied by a power of base for its place."""
-    up = np.full(len(values) + 1, base, np.uint64)
-    down = np.full(len(values) + 1, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    up, down = _power(base, len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=total[1:])
+    np.cumsum(values * up[: len(values)], out=total[1:])
     return mix((total[last] - total[first]) * down[first])
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(row, start, end, two hashes) of the words of texts; places are code points of the joined texts,
+def words(
+    texts: list[str], bases: tuple[int, ...] = _BASES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(row, start, end, a hash for each base) of the words of texts; places are code points of the joined texts,
     each of which is followed by one line end."""
     letters = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
     low = np.minimum(letters, _TOP - 1)
@@ -115,7 +127,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np
     real = ~space[start]
     start, end = start[real], end[real]
     ends = np.cumsum([len(t) + 1 for t in texts])
-    hashes = [_sums(mix(code + np.uint64(b)), start, end, b) for b in _BASES]
+    hashes = [_sums(mix(code + np.uint64(b)), start, end, b) for b in bases]
     return np.searchsorted(ends, start, "right"), start, end, hashes
 
 
@@ -146,38 +158,51 @@ def _anchors(row: np.ndarray, value: np.ndarray, run_words: int) -> tuple[np.nda
     return np.flatnonzero(whole), least[whole], np.flatnonzero(chosen), shingle[chosen]
 
 
-def _sentences(text: str, least_words: int) -> list[tuple[int, int, int, int, bytes]]:
+def _sentences(
+    text: str, least_words: int, wanted: set[int] | None = None
+) -> list[tuple[int, int, int, int, bytes]]:
     """(place in words, words, start, end, digest) of sentences, of runs of them at a shorter one, of lines
-    and of paragraphs of several lines."""
-    held, at, line, block, before = [], 0, 0, 0, 0
+    and of paragraphs of several lines; with wanted only of those at these places."""
+    starts, ends, joined, place = [], [], [], [0]
+    line, block, before = 0, 0, 0
     lines: dict[int, list[int]] = {}
     blocks: dict[int, list[int]] = {}
     for unit in _UNIT.finditer(text):
         if found := unit.group().lower().split():
-            gap = text[before : unit.start()]
-            line += gap.count("\n")
-            # A line without a word parts paragraphs.
-            block += len(gap.split("\n")) > 2
-            lines.setdefault(line, []).append(len(held))
-            blocks.setdefault(block, []).append(len(held))
-            held.append((at, unit.start(), unit.end(), found))
-            at += len(found)
-            before = unit.end()
-    spans = {(x[0], x[-1]) for x in lines.values() if sum(len(held[k][3]) for k in x) >= LINE_WORDS}
-    spans |= {(x[0], x[-1]) for x in blocks.values() if "\n" in text[held[x[0]][1] : held[x[-1]][2]]}
-    for k in range(len(held)):
-        for step in (1, -1):
-            end, size = k, len(held[k][3])
-            while size < least_words and 0 <= end + step < len(held):
-                end += step
-                size += len(held[end][3])
-            if size >= least_words:
-                spans.add((min(k, end), max(k, end)))
+            start, end = unit.span()
+            if "\n" in (gap := text[before:start]):
+                line += (breaks := gap.count("\n"))
+                # A line without a word parts paragraphs.
+                block += breaks > 1
+            lines.setdefault(line, []).append(len(starts))
+            blocks.setdefault(block, []).append(len(starts))
+            starts.append(start)
+            ends.append(end)
+            joined.append(" ".join(found))
+            place.append(place[-1] + len(found))
+            before = end
+    spans = {(x[0], x[-1]) for x in lines.values() if place[x[-1] + 1] - place[x[0]] >= LINE_WORDS}
+    spans |= {(x[0], x[-1]) for x in blocks.values() if text.find("\n", starts[x[0]], ends[x[-1]]) >= 0}
+    for k in range(len(starts)):
+        if place[k + 1] - place[k] >= least_words:
+            spans.add((k, k))
+            continue
+        end = k
+        while end + 1 < len(starts) and place[end + 1] - place[k] < least_words:
+            end += 1
+        if place[end + 1] - place[k] >= least_words:
+            spans.add((k, end))
+        first = k
+        while first and place[k + 1] - place[first] < least_words:
+            first -= 1
+        if place[k + 1] - place[first] >= least_words:
+            spans.add((first, k))
     out = []
     for a, b in spans:
-        found = [w for x in held[a : b + 1] for w in x[3]]
-        digest = blake2b(" ".join(found).encode(errors="replace"), digest_size=16).digest()
-        out.append((held[a][0], len(found), held[a][1], held[b][2], digest))
+        if wanted is None or place[a] in wanted:
+            whole = joined[a] if a == b else " ".join(joined[a : b + 1])
+            digest = blake2b(whole.encode(errors="replace"), digest_size=16).digest()
+            out.append((place[a], place[b + 1] - place[a], starts[a], ends[b], digest))
     return out
 
 
@@ -216,28 +241,30 @@ def _rows(
 
 
 UNIT, WHOLE, RUNS = 0, 1, 2
-_MARK = "kind int, at int, size int, h long, anchor long"
+_MARK = "kind int, at int, h long"
 
 
 def _marked(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
-    """Short hashes of units (kind UNIT) and segments (kind WHOLE) of docs (doc_id, key, text)."""
+    """Short hashes of units (kind UNIT) and segments (kind WHOLE) of docs (doc_id, key, text); units have no anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _pieces(batch.column(2)):
-                row, _, _, hashes = words(texts)
+                row, _, _, hashes = words(texts, _BASES[:1])
                 units = [(i, *u) for i, t in enumerate(texts) for u in _sentences(t, least_words)]
-                own, place, size, _, _ = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
+                own, place = np.array([u[:2] for u in units], np.int64).reshape(-1, 2).T
                 short = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2)[:, 0]
-                yield _rows(batch, own + first, [own * 0 + UNIT, place, size, short, short], _MARK)
+                rows = _rows(batch, own + first, [own * 0 + UNIT, place, short], _MARK)
+                yield rows.append_column("anchor", pa.nulls(len(own), pa.int64()))
                 at, least, _, _ = _anchors(row, hashes[0], run_words)
                 a, b = _segments(at, row, least)
                 own, begin, end = row[at[a]], at[a], at[b] + run_words
                 h = _sums(hashes[0], begin, end, _BASES[0]).view(np.int64)
                 place = begin - np.searchsorted(row, own)
-                yield _rows(batch, own + first, [own * 0 + WHOLE, place, end - begin, h, least[a].view(np.int64)], _MARK)
+                rows = _rows(batch, own + first, [own * 0 + WHOLE, place, h], _MARK)
+                yield rows.append_column("anchor", pa.array(least[a].view(np.int64)))
 
-    return docs.mapInArrow(run, f"doc_id long, key long, {_MARK}")
+    return docs.mapInArrow(run, f"doc_id long, key long, {_MARK}, anchor long")
 
 
 def _hashed(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
@@ -252,13 +279,13 @@ def _hashed(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
                 held = batch.column(3).slice(first, len(texts))
                 owner = np.repeat(np.arange(len(texts)), [len(x) for x in held])
                 wanted = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                known = {(i, w) for i, w in zip(owner.tolist(), wanted.tolist(), strict=True)}
-                units = [
-                    (i, *u)
-                    for i, t in enumerate(texts)
-                    for u in _sentences(t, least_words)
-                    if (i, (UNIT << 32) + u[0]) in known
-                ]
+                known = (owner << 34) | wanted
+                # The numbers of kind UNIT are places alone, those of other kinds lie above all places.
+                is_unit = wanted < WHOLE << 32
+                places: list[set[int]] = [set() for _ in texts]
+                for i, w in zip(owner[is_unit].tolist(), wanted[is_unit].tolist(), strict=True):
+                    places[i].add(w)
+                units = [(i, *u) for i, t in enumerate(texts) for u in _sentences(t, least_words, places[i])]
                 own, at, size, a, b = np.array([u[:5] for u in units], np.int64).reshape(-1, 5).T
                 halves = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2).T
                 before = np.searchsorted(row, own)
@@ -269,8 +296,7 @@ def _hashed(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
                 low, high = _segments(at, row, least)
                 begin = at[low] - np.searchsorted(row, row[at[low]])
                 for kind in (WHOLE, RUNS):
-                    key = (kind << 32) + begin
-                    asked = np.array([(i, k) in known for i, k in zip(row[at[low]].tolist(), key.tolist(), strict=True)], bool)
+                    asked = np.isin((row[at[low]] << 34) | ((kind << 32) + begin), known)
                     some, more = low[asked], high[asked]
                     if kind == RUNS:
                         count = more - some + 1
@@ -286,24 +312,27 @@ def _hashed(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, key long, {_KIND}")
 
 
-def _wanted(marks: DataFrame, run_words: int) -> DataFrame:
-    """(key, wanted): the units and segments that lie in several places, and the segments whose runs may."""
-    place = F.col("at").cast("long")
+def _wanted_units(marks: DataFrame) -> DataFrame:
+    """(key, w): the units that lie in several places."""
     units = marks.where(F.col("kind") == UNIT)
     twice = units.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    units = units.join(twice, "h").select("key", (F.lit(UNIT << 32) + place).alias("w"))
-    parts = marks.where(F.col("kind") == WHOLE).withColumn("rank", _rank())
+    return units.join(twice, "h").select("key", (F.lit(UNIT << 32) + F.col("at").cast("long")).alias("w"))
+
+
+def _wanted_parts(marks: DataFrame, run_words: int) -> DataFrame:
+    """(key, w): the segments that lie in several places, and those whose runs may."""
+    parts = marks.where(F.col("kind") == WHOLE)
     anchors = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("x"), F.max("h").alias("y"))
     anchors = anchors.where("n > 1").select("anchor", (F.col("x") < F.col("y")).alias("several"))
-    parts = parts.join(anchors, "anchor")
+    # Ranks are as wide as the rest of a row: they are taken behind the shuffle.
+    parts = parts.join(anchors, "anchor").withColumn("rank", _rank())
     same = parts.groupBy("anchor", "h").agg(F.min("rank").alias("first"), F.max("rank").alias("top"))
     parts = parts.join(same, ["anchor", "h"])
     # A segment that is far enough from its first place goes whole; the others' runs are looked at.
     near = F.col("several") & (F.col("rank") - F.col("first") < F.lit(run_words))
     kinds = F.array_compact(F.array(F.when(F.col("first") < F.col("top"), WHOLE), F.when(near, RUNS)))
-    parts = parts.select("key", F.explode(kinds).alias("kind"), place.alias("at"))
-    parts = parts.select("key", (F.shiftleft(F.col("kind").cast("long"), 32) + F.col("at")).alias("w"))
-    return units.unionByName(parts).groupBy("key").agg(F.collect_set("w").alias("wanted"))
+    parts = parts.select("key", F.explode(kinds).alias("kind"), F.col("at").cast("long").alias("at"))
+    return parts.select("key", (F.shiftleft(F.col("kind").cast("long"), 32) + F.col("at")).alias("w"))
 
 
 def _rank() -> Column:
@@ -319,12 +348,21 @@ def _spans(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
     Rows that repeat an id and text are one text here, wherever they lie."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    # One after the other, so that their shuffles don't lie on the disks together.
     with collected() as first_pass:
         marks = stored(_marked(texts, least_words, run_words))
-    wanted = stored(_wanted(marks, run_words))
-    removed(spark, *first_pass)
+    with collected() as lists:
+        wanted = stored(_wanted_units(marks)).unionByName(stored(_wanted_parts(marks, run_words)))
+    for path in first_pass:
+        removed(spark, path)
+    with collected() as grouped:
+        wanted = stored(wanted.groupBy("key").agg(F.collect_set("w").alias("wanted")))
+    for path in lists:
+        removed(spark, path)
     asked = texts.join(wanted, "key").dropDuplicates(["key"]).select("doc_id", "key", "text", "wanted")
     units = stored(_hashed(asked, least_words, run_words))
+    for path in grouped:
+        removed(spark, path)
     whole, last = F.lit(2**62).cast("decimal(19,0)"), F.lit(2**63 - 1)
     units = units.withColumn("rank", _rank())
     first = units.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("top"))
