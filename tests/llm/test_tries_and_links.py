@@ -128,6 +128,37 @@ def test_signature_join_in_a_large_group(spark, block):
     assert found == linked(texts, 5)[1]
 
 
+def test_rounds_take_no_exact_components(spark, monkeypatch):
+    """Exact components take some five shuffled joins a call: one for the trees and one for the end."""
+    rng = random.Random(8)
+    words = [str(n) for n in range(100)]
+    texts = {}
+    for i in range(80):
+        text = words.copy()
+        for place in rng.sample(range(100), rng.randint(1, 5)):
+            text[place] = f"x{rng.random()}"
+        texts[i] = " ".join(text)
+    calls = []
+    exact = S.components
+    monkeypatch.setattr(S, "components", lambda links: calls.append(1) or exact(links))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in S.signature_join(docs).collect()}
+    assert found == linked(texts, 5)[1] and len(calls) <= 2
+
+
+def test_merged_labels_are_those_of_linked_nodes(spark):
+    def labels(known, links):
+        known = known and spark.createDataFrame(known, "node long, component long")
+        got = S.merged(known, spark.createDataFrame(links, "a long, b long"))
+        return {r["node"]: r["component"] for r in got.collect()}
+
+    assert labels(None, [(1, 3), (2, 3), (8, 9)]) == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+    old = [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
+    assert labels(old, [(3, 9), (5, 6)]) == {1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 5: 5, 6: 5}
+    # No new link leaves them as they are.
+    assert labels(old, []) == dict(old)
+
+
 def test_signature_join_of_odd_rows(odd, none):
     rows = S.signature_join(odd).collect()
     assert len(rows) == odd.count() and S.signature_join(none).collect() == []
