@@ -64,6 +64,20 @@ def test_each_form_equals_its_plain_form(detail, rows_of, version, size):
         assert rows_of(found) == rows_of(plain(df, *DAYS, version))
 
 
+def test_tasks_follow_the_rows_of_the_detail(detail, rows_of, capsys, monkeypatch):
+    df = detail(random_detail(4, 500))
+    n = R._detail_rows(df, *DAYS, C.STABLE, True).count()
+    forms = R.rollup_levels, R.rollup_paths, R.rollup_levels_plain, R.rollup_paths_plain
+    before = [rows_of(form(df, *DAYS)) for form in forms]
+    monkeypatch.setattr(R, "FACET_ROWS", 7)
+    monkeypatch.setattr(R, "PLAIN_ROWS", 3)
+    for form, rows, most in zip(forms, before, (7, 7, 3, 3), strict=True):
+        found = form(df, *DAYS)
+        assert rows_of(found) == rows
+        found.explain()
+        assert f", {-(-n // most)}), REPARTITION_BY_NUM" in capsys.readouterr().out
+
+
 def test_levels_add_up(detail):
     rows = R.rollup_levels(detail(random_detail(3, 400)), *DAYS).collect()
     for day in DAYS:

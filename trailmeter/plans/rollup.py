@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,9 @@ PATH_DIMENSIONS = [
 VISITS, BEFORE, AMOUNT, DEVICES = "tc_user_visits", "before", "amount", "uv"
 SUMS = [DEVICES, VISITS, BEFORE, AMOUNT]
 USERS, ORDERS = "users", "orders"
+# Detail rows a task takes at most, before each becomes three facet rows, and before the plain distinct
+# counts make up to 28 rows of each of those.
+FACET_ROWS, PLAIN_ROWS = 500_000, 100_000
 VERSIONED = {
     BEFORE: "tc_user_visits_before_deal",
     USERS: "deal_user_num_toc",
@@ -54,6 +58,15 @@ def _detail_rows(
     return rows.withColumn("user_id", user)
 
 
+def _dealt(rows: DataFrame, n: int, most: int, *keys: str) -> DataFrame:
+    """Rows dealt by keys over tasks, one for each ``most`` of n rows.
+
+    Spark sizes tasks by bytes as they are stored. A row of ids and few labels takes fifteen bytes there and
+    many hundreds while it is sorted or counted, so tasks of those sizes grow to gigabytes.
+    """
+    return rows.repartition(max(1, math.ceil(n / most)), *keys)
+
+
 def _user_dimensions(by_path: bool) -> list[Column]:
     plain = ["user_visitcycle", "user_buycycle", "user_life_cycle_type"]
     if not by_path:
@@ -72,9 +85,15 @@ def facets(
 
     They are three groupings of the same rows: by user and order, by device, and by user. Each gets
     the largest value of its dimensions, and fills only the measures it stands for. With ``by_path``
-    the path and its frequency label join every grouping.
+    the path and its frequency label join every grouping. The detail's rows are counted first, so it
+    should be a stored one; only if they are too many for each core they are dealt anew.
     """
     rows = _detail_rows(detail, start, end, version, empty_account_is_missing)
+    n = rows.count()
+    if n > FACET_ROWS * detail.sparkSession.sparkContext.defaultParallelism:
+        # The login is no key of a grouping, but all that tells rows without any id apart.
+        ids = ["user_id", "browser_uniq_id", "user_log_acct", "parent_sale_ord_id"]
+        rows = _dealt(rows, n, FACET_ROWS, "dt", *ids)
     path = PATH if by_path else []
     sets = [
         ["dt", "user_id", "parent_sale_ord_id", *path],
@@ -224,11 +243,22 @@ def rollup_levels_plain(
     empty_account_is_missing: bool = True,
 ) -> DataFrame:
     """Levels 0-5 and 7 as one grouping-sets query with distinct counts over the facet union."""
-    rows = facets_by_union(detail, start, end, version, False, empty_account_is_missing)
+    rows = _plain_rows(detail, start, end, version, False, empty_account_is_missing)
     levels = _by_level(rows).agg(_level(), *_plain_measures())
     return _version_columns(levels, version)
 
 
+def _plain_rows(
+    detail: DataFrame, start: str, end: str | None, version: str, by_path: bool,
+    empty_account_is_missing: bool,
+) -> DataFrame:
+    """The facet union, dealt over as many tasks as the detail's rows ask for: each facet row becomes one
+    for each grouping set and distinct count before anything is combined."""
+    rows = facets_by_union(detail, start, end, version, by_path, empty_account_is_missing)
+    n = _detail_rows(detail, start, end, version, empty_account_is_missing).count()
+    return _dealt(rows, n, PLAIN_ROWS, *rows.columns)
+
+
 def _plain_measures() -> list[Column]:
     return [
         F.count_distinct("browser_uniq_id").alias(DEVICES),
@@ -257,7 +287,7 @@ def rollup_paths_plain(
     detail: DataFrame, start: str, end: str | None = None, version: str = C.STABLE,
     empty_account_is_missing: bool = True,
 ) -> DataFrame:
-    rows = facets_by_union(detail, start, end, version, True, empty_account_is_missing)
+    rows = _plain_rows(detail, start, end, version, True, empty_account_is_missing)
     paths = rows.groupBy("dt", *PATH_DIMENSIONS).agg(*_plain_measures())
     return _version_columns(paths.withColumn("lvl", F.lit(C.PATH_LEVEL)), version)
 
