@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmeter.llm import queries
+from trailmeter.llm import queries, substring_dedup
 from trailmeter.llm.common import collected, components, ranked, scratch_dir, table
 from trailmeter.llm.decontaminate import Matcher, budget, contaminated, decontaminated, distance, masks, normal
 from trailmeter.llm.language_id import identified, page_evidence
@@ -594,3 +594,27 @@ def test_partners_in_a_group_are_found_by_size(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, width=4).collect()}
     assert found == linked(texts, 4)[1]
+
+
+def test_marks_of_units_are_those_of_sentences():
+    """The first pass, by numpy, finds the places that the second one does, and gives equal units equal hashes."""
+    rng = random.Random(5)
+    parts = ["a", "B", "b", " ", "\n", "\n\n", ".", "...", "?\n", "\t", "\u3000", "x y z", "X y  z.", "漢字", "İ", "i̇"]
+    for least in (1, 2, 4) * 40:
+        texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(6)]
+        slow = [(i, u[0], u[4]) for i, t in enumerate(texts) for u in substring_dedup._sentences(t, least)]
+        fast = list(zip(*(x.tolist() for x in substring_dedup._unit_marks(texts, least)), strict=True))
+        groups = []
+        for found in (slow, fast):
+            equal = {}
+            for row, place, value in found:
+                equal.setdefault(value, []).append((row, place))
+            groups.append(sorted(sorted(x) for x in equal.values()))
+        assert groups[0] == groups[1]
+
+
+def test_marks_of_units_fold_sigmas_and_empty_texts():
+    own, place, h = substring_dedup._unit_marks(["", "Ο ΟΔΟΣ ο", "ο οδος ο.", "\n.\n"], 3)
+    assert own.tolist() == [1, 2] and place.tolist() == [0, 0]
+    assert substring_dedup._unit_marks(["Ο ΟΔΟΣ ο", "ο οδος ο"], 3)[2].tolist() == [h[0]] * 2
+    assert [len(x) for x in substring_dedup._unit_marks(["", " \n"], 3)] == [0, 0, 0]

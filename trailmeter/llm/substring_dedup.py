@@ -42,7 +42,7 @@ RUN_WORDS, LONG = 50, 64
 #: Runs of one segment at most, for texts that repeat themselves.
 SEGMENT = 64
 #: Letters that are hashed at once; a longer document is one piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _UNIT = re.compile(r"[^\n.!?]+[.!?]*")
 _TOP = 0x20000
 _LOWER = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(_TOP)], np.uint32)
@@ -164,31 +164,35 @@ def _sentences(
     """(place in words, words, start, end, digest) of sentences, of runs of them at a shorter one, of lines
     and of paragraphs of several lines; with wanted only of those at these places."""
     starts, ends, joined, place = [], [], [], [0]
-    line, block, before = 0, 0, 0
-    lines: dict[int, list[int]] = {}
-    blocks: dict[int, list[int]] = {}
-    for unit in _UNIT.finditer(text):
-        if found := unit.group().lower().split():
+    lines, blocks, before, n = [0], [0], 0, 0
+    low = text.lower()
+    # Lowered as a whole where no letter becomes two and none hangs on its neighbours, as a final sigma does.
+    whole = len(low) == len(text) and "Σ" not in text
+    for unit in _UNIT.finditer(low if whole else text):
+        if found := (unit.group() if whole else unit.group().lower()).split():
             start, end = unit.span()
-            if "\n" in (gap := text[before:start]):
-                line += (breaks := gap.count("\n"))
+            if breaks := text.count("\n", before, start):
+                lines.append(n)
                 # A line without a word parts paragraphs.
-                block += breaks > 1
-            lines.setdefault(line, []).append(len(starts))
-            blocks.setdefault(block, []).append(len(starts))
+                if breaks > 1:
+                    blocks.append(n)
             starts.append(start)
             ends.append(end)
             joined.append(" ".join(found))
             place.append(place[-1] + len(found))
             before = end
-    spans = {(x[0], x[-1]) for x in lines.values() if place[x[-1] + 1] - place[x[0]] >= LINE_WORDS}
-    spans |= {(x[0], x[-1]) for x in blocks.values() if text.find("\n", starts[x[0]], ends[x[-1]]) >= 0}
-    for k in range(len(starts)):
+            n += 1
+    lines.append(n)
+    blocks.append(n)
+    pairs = list(zip(lines, lines[1:], strict=False))
+    spans = {(a, b - 1) for a, b in pairs if place[b] - place[a] >= LINE_WORDS}
+    spans |= {(a, b - 1) for a, b in set(zip(blocks, blocks[1:], strict=False)).difference(pairs) if a < b}
+    for k in range(n):
         if place[k + 1] - place[k] >= least_words:
             spans.add((k, k))
             continue
         end = k
-        while end + 1 < len(starts) and place[end + 1] - place[k] < least_words:
+        while end + 1 < n and place[end + 1] - place[k] < least_words:
             end += 1
         if place[end + 1] - place[k] >= least_words:
             spans.add((k, end))
@@ -206,6 +210,56 @@ def _sentences(
     return out
 
 
+def _unit_marks(texts: list[str], least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place in words, hash) of the units that _sentences finds, by numpy over the letters of all texts.
+    Equal units have equal hashes; the second pass tells apart what only agrees here, as the two small sigmas do."""
+    low = [t.lower() for t in texts]
+    letters = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    letters = np.where(letters == ord("ς"), np.uint32(ord("σ")), letters)
+    breaks = letters == ord("\n")
+    stop = (letters == ord(".")) | (letters == ord("!")) | (letters == ord("?"))
+    parts = breaks | stop
+    begin = ~parts
+    begin[1:] &= parts[:-1]
+    # Stops belong to the unit before them, if no line end lies in between.
+    place = np.arange(len(letters), dtype=np.int32)
+    inside = np.maximum.accumulate(np.where(parts, -1, place)) > np.maximum.accumulate(np.where(breaks, place, -1))
+    inside &= ~_SPACE[np.minimum(letters, _TOP - 1)]
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= begin[1:] | ~inside[:-1]
+    end[:-1] &= begin[1:] | ~inside[1:]
+    first, last = np.flatnonzero(start), np.flatnonzero(end) + 1
+    if not len(first):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    value = _sums(mix(letters.astype(np.uint64) + np.uint64(1)), first, last, _BASES[0])
+    unit = np.cumsum(begin, dtype=np.int32)[first]
+    head = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    n, word = len(head), np.r_[head, len(first)]
+    row = np.searchsorted(np.cumsum([len(t) + 1 for t in low]), first[head], "right")
+    line = np.cumsum(breaks, dtype=np.int32)[first[head]]
+    gap = np.diff(line)
+    top = np.r_[0, np.flatnonzero(gap > 0) + 1, n]
+    lines = np.stack([top[:-1], top[1:] - 1])
+    lines = lines[:, word[lines[1] + 1] - word[lines[0]] >= LINE_WORDS]
+    top = np.r_[0, np.flatnonzero((gap > 1) | (row[1:] != row[:-1])) + 1, n]
+    blocks = np.stack([top[:-1], top[1:] - 1])
+    blocks = blocks[:, line[blocks[0]] != line[blocks[1]]]
+    whole = np.diff(word) >= least_words
+    full, short = np.flatnonzero(whole), np.flatnonzero(~whole)
+    ahead = np.stack([short, np.searchsorted(word, word[short] + least_words, "left") - 1])
+    ahead = ahead[:, ahead[1] < n]
+    behind = np.stack([np.searchsorted(word, word[short + 1] - least_words, "right") - 1, short])
+    behind = behind[:, behind[0] >= 0]
+    runs = np.concatenate([ahead, behind], axis=1)
+    runs = runs[:, row[runs[0]] == row[runs[1]]]
+    spans = np.concatenate([lines, blocks, np.stack([full, full]), runs], axis=1)
+    a, b = np.divmod(np.unique(spans[0] * n + spans[1]), n)
+    own = row[a]
+    h = _sums(value, word[a], word[b + 1], _BASES[0]).view(np.int64)
+    return own, word[a] - word[np.searchsorted(row, own)], h
+
+
 def _segments(at: np.ndarray, row: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first, last) places in `at` of segments: runs that follow each other with one anchor."""
     if not len(at):
@@ -251,9 +305,7 @@ def _marked(docs: DataFrame, least_words: int, run_words: int) -> DataFrame:
         for batch in batches:
             for first, texts in _pieces(batch.column(2)):
                 row, _, _, hashes = words(texts, _BASES[:1])
-                units = [(i, *u) for i, t in enumerate(texts) for u in _sentences(t, least_words)]
-                own, place = np.array([u[:2] for u in units], np.int64).reshape(-1, 2).T
-                short = np.frombuffer(b"".join(u[5] for u in units), "<i8").reshape(-1, 2)[:, 0]
+                own, place, short = _unit_marks(texts, least_words)
                 rows = _rows(batch, own + first, [own * 0 + UNIT, place, short], _MARK)
                 yield rows.append_column("anchor", pa.nulls(len(own), pa.int64()))
                 at, least, _, _ = _anchors(row, hashes[0], run_words)
