@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmeter.llm import queries, substring_dedup
+from trailmeter.llm import near_dedup, queries, substring_dedup
 from trailmeter.llm.common import collected, components, ranked, scratch_dir, table
 from trailmeter.llm.decontaminate import Matcher, budget, contaminated, decontaminated, distance, masks, normal
 from trailmeter.llm.language_id import identified, page_evidence
@@ -618,3 +618,30 @@ def test_marks_of_units_fold_sigmas_and_empty_texts():
     assert own.tolist() == [1, 2] and place.tolist() == [0, 0]
     assert substring_dedup._unit_marks(["Ο ΟΔΟΣ ο", "ο οδος ο"], 3)[2].tolist() == [h[0]] * 2
     assert [len(x) for x in substring_dedup._unit_marks(["", " \n"], 3)] == [0, 0, 0]
+
+
+def test_near_duplicates_test_few_pairs_of_components(spark, monkeypatch):
+    """Variants of one text: most pairs are settled by what they meet in, or once their components are one."""
+    rng, texts = np.random.default_rng(8), {}
+    for i in range(300):
+        words = [f"w{k}" for k in range(300)]
+        for at in rng.choice(300, 9 if i == 0 else rng.integers(1, 9), replace=False):
+            words[at] = f"x{rng.integers(10**6)}"
+        texts[i] = " ".join(words)
+    tested, before = [], near_dedup.estimated
+
+    def counted(pairs, nodes):
+        tested.append(pairs.count())
+        return before(pairs, nodes)
+
+    monkeypatch.setattr(near_dedup, "estimated", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, 5).collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(296)} for i, t in texts.items()}
+    least = {i: i for i in texts}
+    for a, b in itertools.combinations(texts, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            x, y = sorted((least[a], least[b]))
+            least = {i: x if c == y else c for i, c in least.items()}
+    assert found == least
+    assert sum(tested) < 8500

@@ -29,6 +29,8 @@ ROWS, BANDS = 6, 48
 BASE, SHIFT = 1.1, 40
 #: Pairs below this estimate are five standard errors under 0.8.
 LEAST_ESTIMATE = 0.64
+#: Pairs of two components that are tested before all others of them.
+PROBES = 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -237,14 +239,21 @@ def near_duplicates(
     busy = busy.withColumn("q", F.count("s").over(rare))
     busy = busy.withColumn("i", F.row_number().over(rare.orderBy("f", "s")))
     busy = stored(
-        busy.join(sized, ["b", "a"]).where("i <= q - greatest(need, 1) + 1").drop("f", "i", "need")
+        busy.join(sized, ["b", "a"]).where("i <= q - greatest(need, 1) + 1").drop("f", "need")
     )
-    other = busy.select("b", "s", *[F.col(x).alias(f"{x}2") for x in ("a", "c", "na", "shared", "q")])
-    across = busy.where("not linked").join(other, ["b", "s"]).where(
+    parts = ["a", "c", "na", "shared", "q", "i"]
+    other = busy.select("b", "s", *[F.col(x).alias(f"{x}2") for x in parts])
+    met = busy.where("not linked").join(other, ["b", "s"]).where(
         "c <> c2 and "
         f"{100 + percent} * (least(shared, shared2) + least(q, q2)) >= {percent} * (na + na2)"
     )
-    across = across.select("a", "a2")
+    # Both are in one order, so up to the last shingle they meet in they share just those they meet in, and
+    # behind it at most what is left of the shorter list.
+    kept = [x for x in met.columns if x not in ("s", "linked", "i", "i2")]
+    met = met.groupBy(*kept).agg(F.count("s").alias("hits"), F.max("i").alias("i"), F.max("i2").alias("i2"))
+    behind = "hits + least(q - i, q2 - i2)"
+    met = met.where(f"{100 + percent} * (least(shared, shared2) + {behind}) >= {percent} * (na + na2)")
+    across = met.select("a", "a2", "c", "c2", "hits")
     mine = left.where("not linked").join(small, "b")
     mine = mine.where(f"{100 + percent} * shared >= {percent} * (na + least)")
     # What a2 has in p bounds the size of a partner from above, so partners are looked up by size.
@@ -257,12 +266,28 @@ def near_duplicates(
     inside = left.withColumn("bin", _size_bin(F.col("na"))).join(mine, ["b", "bin"]).where(
         f"a <> a2 and c <> c2 and {100 + percent} * least(shared, s2) >= {percent} * (na + n2)"
     )
-    across = across.union(inside.select("a", "a2"))
-    across = across.select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("b")).distinct()
-    more = stored(estimated(across, nodes))
-    if not more.isEmpty():
-        links = stored(links.union(compared(more, sets, percent).where("linked").select("a", "b")))
+    across = across.union(inside.select("a", "a2", "c", "c2", F.lit(0).cast("long")))
+    ends = [F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("b")]
+    sides = [F.least("c", "c2").alias("c"), F.greatest("c", "c2").alias("c2")]
+    across = stored(across.groupBy(*ends, *sides).agg(F.max("hits").alias("hits")))
+
+    def linked(some: DataFrame) -> DataFrame:
+        more = stored(estimated(some.select("a", "b"), nodes))
+        return stored(compared(more, sets, percent).where("linked").select("a", "b"))
+
+    # Two components that hang together mostly link where they meet most often, which makes their other
+    # pairs needless; only those that still lie apart are tested.
+    if not across.isEmpty():
+        order = Window.partitionBy("c", "c2").orderBy(F.desc("hits"), "a", "b")
+        across = across.withColumn("_rank", F.row_number().over(order))
+        links = stored(links.union(linked(across.where(f"_rank <= {PROBES}"))))
         label = components(links)
+        for end, mark in (("c", "d"), ("c2", "d2")):
+            own = label.select(F.col("node").alias(end), F.col("component").alias(mark))
+            across = across.join(own, end, "left").withColumn(mark, F.coalesce(mark, end))
+        more = linked(across.where(f"_rank > {PROBES} and d <> d2"))
+        if not more.isEmpty():
+            label = components(stored(links.union(more)))
     # Ids whose repeated rows have different texts tie their classes together as well.
     final = member.select("doc_id", "n_shingles", "node").join(label, "node", "left")
     final = final.select("doc_id", F.coalesce("component", "node").alias("component_id"))
