@@ -13,6 +13,7 @@ from trailmeter import constants as C
 from trailmeter.plans.user_detail import UserTags
 
 START, END = "1990-01-01", "2099-12-31"
+Days = tuple[str, str] | None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,8 +136,22 @@ def _clock() -> Column:
     return F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_type <> 'purchase'")
+def events_of(spark: SparkSession, sf_dir: str, days: Days) -> DataFrame:
+    """All events, or those of a range of days and of the days beside it, for readers that cut it to the
+    range by their own days: the other rows only go before anything is made of them."""
+    events = table(spark, sf_dir, "events")
+    if days is None:
+        return events
+    first, last = (F.lit(day).cast("date") for day in days)
+    return events.where(F.to_date("ts").between(F.date_sub(first, 1), F.date_add(last, 1)))
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(_day("ts").alias("dt"))
+
+
+def visits(spark: SparkSession, sf_dir: str, days: Days = None) -> DataFrame:
+    events = events_of(spark, sf_dir, days).where("event_type <> 'purchase'")
     device = F.concat(F.lit("d"), "user_id", F.lit("-"), F.col("event_id") % 2)
     session = F.concat(F.lit("s"), "user_id", F.lit("-"), F.floor(F.hour("ts") / 6))
     return events.select(
@@ -163,14 +178,16 @@ def _purchase_columns() -> list[Column]:
     ]
 
 
-def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_type = 'purchase'")
+def _purchases(spark: SparkSession, sf_dir: str, days: Days) -> DataFrame:
+    return events_of(spark, sf_dir, days).where("event_type = 'purchase'")
 
 
-def path_orders(spark: SparkSession, sf_dir: str, by_quarter: bool = False) -> DataFrame:
+def path_orders(
+    spark: SparkSession, sf_dir: str, by_quarter: bool = False, days: Days = None
+) -> DataFrame:
     """Purchases as settled order lines; accounts need trimming and lower case."""
     quarter = F.trunc("ts", "quarter").cast("string")
-    return _purchases(spark, sf_dir).select(
+    return _purchases(spark, sf_dir, days).select(
         (quarter if by_quarter else _day("ts")).alias("dt"),
         _day("ts").alias("sale_ord_dt"),
         F.lit(1 if by_quarter else 0).alias("tp"),
@@ -184,8 +201,8 @@ def path_orders(spark: SparkSession, sf_dir: str, by_quarter: bool = False) -> D
     )
 
 
-def path_snapshot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _purchases(spark, sf_dir).select(
+def path_snapshot_orders(spark: SparkSession, sf_dir: str, days: Days = None) -> DataFrame:
+    return _purchases(spark, sf_dir, days).select(
         _day("ts").alias("dt"),
         F.lit("own").alias("add_cart_plat_flag"),
         _app().alias("plat_flag"),
@@ -195,36 +212,36 @@ def path_snapshot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def path_order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def path_order_labels(spark: SparkSession, sf_dir: str, days: Days = None) -> DataFrame:
     business = F.when(_every("event_id", 5), "other").otherwise(C.CONSUMER_BUSINESS)
-    return _purchases(spark, sf_dir).select(
+    return _purchases(spark, sf_dir, days).select(
         _day("ts").alias("dt"), business.alias("first_biz"), *_purchase_columns()[:2]
     )
 
 
-def path_account_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def path_account_names(spark: SparkSession, sf_dir: str, days: Days = None) -> DataFrame:
     """Logins of users with an account, on each day they have events."""
     named = ~_every("user_id", 7) & ~_every("user_id", 11)
-    return _user_days(spark, sf_dir).where(named).select(
+    return _user_days(spark, sf_dir, days).where(named).select(
         F.col("day").cast("string").alias("dt"),
         F.concat(F.lit(" L"), "user_id").alias("user_acct_name"),
         F.concat(F.lit("U"), "user_id").alias("unif_user_log_acct"),
     )
 
 
-def _user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _user_days(spark: SparkSession, sf_dir: str, days: Days) -> DataFrame:
     """Customers on each day they have events: one row per user and day."""
-    days = (
-        table(spark, sf_dir, "events")
+    seen = (
+        events_of(spark, sf_dir, days)
         .select("user_id", F.col("ts").cast("date").alias("day"))
         .distinct()
     )
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "user_id")
-    return days.join(customer, "user_id")
+    return seen.join(customer, "user_id")
 
 
-def tags(spark: SparkSession, sf_dir: str) -> UserTags:
-    users = _user_days(spark, sf_dir)
+def tags(spark: SparkSession, sf_dir: str, days: Days = None) -> UserTags:
+    users = _user_days(spark, sf_dir, days)
     same_day = F.col("day").cast("string").alias("dt")
     day_before = F.date_sub("day", 1).cast("string").alias("dt")
     account = F.concat(F.lit(" U"), "user_id", F.lit(" "))

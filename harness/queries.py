@@ -17,9 +17,12 @@ from trailmeter.functions import aggregates, keys, labels
 from trailmeter.operators.joins import left_join_missing_aside, unique_per_key
 from trailmeter.operators.paths import EventColumns, conversion_paths
 from trailmeter.plans import export, factored, monitor, orders, page_views, rollup, user_detail
-from trailmeter.sources.days import read_days, read_quarters, read_table, write_days
+from trailmeter.sources.days import day_parts, read_days, read_quarters, read_table, write_days
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Events and detail rows that a part of the days takes at most. Their shuffles take about 700 and 900
+# bytes each. Each part of the detail scans all events again, as these are not stored by day.
+DETAIL_EVENTS, ROLLUP_ROWS = 10_000_000, 5_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -281,28 +284,29 @@ def null_skip_join(spark, sf_dir):
     return joined.drop("key")
 
 
-def _path_facts(spark, sf_dir, version):
+def _path_facts(spark, sf_dir, version, start=START, end=END):
+    days = start, end
     if version == C.SNAPSHOT:
         return orders.snapshot_order_facts(
-            A.path_snapshot_orders(spark, sf_dir),
-            A.path_order_labels(spark, sf_dir),
-            A.path_account_names(spark, sf_dir),
-            START,
-            END,
+            A.path_snapshot_orders(spark, sf_dir, days),
+            A.path_order_labels(spark, sf_dir, days),
+            A.path_account_names(spark, sf_dir, days),
+            start,
+            end,
         )
     if version == C.HISTORY:
-        quarters = A.path_orders(spark, sf_dir, by_quarter=True)
-        return orders.history_order_facts(quarters, START, END)
-    return orders.stable_order_facts(A.path_orders(spark, sf_dir), START, END)
+        quarters = A.path_orders(spark, sf_dir, by_quarter=True, days=days)
+        return orders.history_order_facts(quarters, start, end)
+    return orders.stable_order_facts(A.path_orders(spark, sf_dir, days=days), start, end)
 
 
-def _detail(spark, sf_dir, version=C.STABLE, **options):
+def _detail(spark, sf_dir, version=C.STABLE, start=START, end=END, **options):
     return user_detail.user_detail(
-        A.visits(spark, sf_dir),
-        _path_facts(spark, sf_dir, version),
-        A.tags(spark, sf_dir),
-        START,
-        END,
+        A.visits(spark, sf_dir, (start, end)),
+        _path_facts(spark, sf_dir, version, start, end),
+        A.tags(spark, sf_dir, (start, end)),
+        start,
+        end,
         version,
         **options,
     )
@@ -347,13 +351,27 @@ def rollup_empty_as_account(spark, sf_dir):
 
 
 def stored_detail(spark, sf_dir, *versions):
-    """The detail as the rollup finds it: written by day and version, read back with a schema."""
+    """The detail as the rollup finds it: written by day and version, read back with a schema. Days
+    follow each other in parts, so the shuffles of all days never lie on disk together."""
     path = scratch(spark, "detail")
+    parts = day_parts(A.event_days(spark, sf_dir), DETAIL_EVENTS, START, END)
     for version in versions:
-        write_days(_detail(spark, sf_dir, version), path, ("dt", "tp", "dp"))
+        for start, end in parts:
+            write_days(_detail(spark, sf_dir, version, start, end), path, ("dt", "tp", "dp"))
     return read_table(spark, path, schemas.DETAIL)
 
 
+def stored_rollup(spark, sf_dir, *versions):
+    """The rollup as the export finds it: all levels, each version and part of the days by itself."""
+    detail = stored_detail(spark, sf_dir, *versions)
+    path = scratch(spark, "rollup")
+    for version in versions:
+        rows = detail.where(F.col("dp") == version)
+        for start, end in day_parts(rows, ROLLUP_ROWS, START, END):
+            write_days(rollup.rollup(detail, start, end, version), path, ("dt", "tp", "dp"))
+    return read_table(spark, path, schemas.ROLLUP)
+
+
 def rollup_levels(spark, sf_dir):
     return rollup.rollup_levels(stored_detail(spark, sf_dir, C.STABLE), START, END)
 
@@ -371,9 +389,7 @@ def rollup_path_level_plain(spark, sf_dir):
 
 
 def rollup_merged(spark, sf_dir):
-    detail = stored_detail(spark, sf_dir, C.STABLE, C.SNAPSHOT)
-    settled = rollup.rollup(detail, START, END, C.STABLE)
-    return settled.unionByName(rollup.rollup(detail, START, END, C.SNAPSHOT))
+    return stored_rollup(spark, sf_dir, C.STABLE, C.SNAPSHOT)
 
 
 def grouping_codes(spark, sf_dir):
