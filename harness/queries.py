@@ -414,9 +414,7 @@ def shard_key(spark, sf_dir):
 
 def _export(pattern: str) -> Query:
     def query(spark, sf_dir):
-        path = scratch(spark, "rollup")
-        write_days(rollup_merged(spark, sf_dir), path, ("dt", "tp", "dp"))
-        return export.export_rows(read_table(spark, path, schemas.ROLLUP), START, END, pattern)
+        return export.export_rows(rollup_merged(spark, sf_dir), START, END, pattern)
 
     return query
 

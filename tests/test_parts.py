@@ -77,3 +77,26 @@ def test_versions_and_parts_are_written_one_after_the_other(spark, monkeypatch):
         sizes = [n for name, n in written if name == kind]
         assert len(sizes) >= 4 and sizes == sorted(set(sizes))
     assert difference(result, SF_DIR, ORACLE["rollup_merged"]) is None
+
+
+EXPORTS = ["export_normal"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+@pytest.mark.parametrize("name", EXPORTS)
+def test_exports_read_a_rollup_stored_once_in_parts(spark, monkeypatch, name):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    monkeypatch.setattr(queries, "ROLLUP_ROWS", events // 3)
+    written, write = [], queries.write_days
+
+    def watched(rows, path, *rest):
+        before = shuffle_files(spark)
+        write(rows, path, *rest)
+        assert not left_behind(spark, before)
+        written.append(os.path.basename(path))
+
+    monkeypatch.setattr(queries, "write_days", watched)
+    result = queries.QUERIES[name](spark, SF_DIR)
+    rollups = [path for path in written if path.startswith("rollup-")]
+    assert len(rollups) >= 4 and len(set(rollups)) == 1
+    assert difference(result, SF_DIR, ORACLE[name]) is None
