@@ -79,7 +79,7 @@ def test_versions_and_parts_are_written_one_after_the_other(spark, monkeypatch):
     assert difference(result, SF_DIR, ORACLE["rollup_merged"]) is None
 
 
-EXPORTS = ["export_normal"]
+EXPORTS = ["export_normal", "export_history"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
